@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_chunks, curriculum, jpeg, license_scan, token_count
+from . import bpe_chunks, curriculum, jpeg, license_scan, simhash, token_count, toxicity
 from .common import table
 
 
@@ -16,6 +16,15 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_texts(docs, toxicity.fit_grammar(docs, table(spark, sf_dir, "labels")))
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licences(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -37,7 +46,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_licenses, op4_mixing, op5_media, op9_bpe, op10_token_counts)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_licenses, op4_mixing, op5_media, op9_bpe, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
