@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_chunks, curriculum, jpeg, license_scan, ppm, simhash, suffix_dedup, token_count, toxicity
+from . import bpe_chunks, curriculum, jpeg, license_scan, ppm, simhash, spann, suffix_dedup, token_count, toxicity
 from .common import table
 
 
@@ -37,6 +37,10 @@ def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jpeg.media_features(table(spark, sf_dir, "documents"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_licenses, op4_mixing, op5_media, op7_suffix_dedup, op8_lm_score, op9_bpe, op10_token_counts)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_licenses, op4_mixing, op5_media, op6_ann, op7_suffix_dedup, op8_lm_score, op9_bpe, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
