@@ -3,9 +3,10 @@
 Inner products become distances: each vector gets one more component, sqrt(M^2 - |x|^2) with M the largest norm (0 for a
 query), so that the nearest vector is the one with the largest inner product. Centroids come from a hierarchical clustering
 of a bounded sample (``fit_rows``): clusters above the leaf size are split again, which keeps lists balanced. Every vector
-is put into the list of its nearest centroid and, near a boundary, into further ones whose distance is within ``closure``
-of the nearest; a centroid that is nearer to one already taken than to the vector is passed over. A query searches the
-centroids by a best-first walk on their neighbour graph and probes the lists within ``ratio`` of the nearest distance.
+is put into the list of its nearest centroid and, near a boundary, into further ones whose distance is within CLOSURE times
+the nearest. A query searches the centroids by a best-first walk on their neighbour graph and probes the lists whose distance
+is within a ratio of the nearest. The ratio is calibrated: the one that reaches ``target`` of the true neighbours of some
+sample rows within the sample. Neighbours in all rows are nearer than those in a sample, so the recall is no lower there.
 
 A list of more than ``block_rows`` vectors or queries is dealt into blocks by a hash, and each pair of blocks is a task's
 group. Scores are inner products in double precision of the original vectors, summed in one fixed order.
@@ -26,7 +27,7 @@ from pyspark.sql import Window
 from .common import quoted, written
 
 FIT_ROWS, MAX_LISTS, LIST_ROWS, BLOCK_ROWS = 16_384, 4096, 256, 4096
-COPIES, CLOSURE, RATIO, DEGREE, BEAM = 6, 1.15, 1.35, 24, 64
+COPIES, CLOSURE, TARGET, TRIALS, DEGREE, BEAM = 3, 1.02, 0.97, 256, 24, 64
 
 
 def usable(df: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -67,11 +68,12 @@ class Index:
         self.c = np.zeros((0, sample.shape[1] + 1))
         self.rows, self.sample, self.seed = rows, sample, seed
 
-    def fit(self, norm: float) -> Index:
+    def fit(self, norm: float, k: int = 20, target: float = TARGET) -> Index:
         self.m = norm
         lists = min(MAX_LISTS, max(1, -(-self.rows // LIST_ROWS)))
         x = self.lifted(self.sample)
         self.c = centres_of(x, max(1, len(x) // lists), np.random.default_rng(self.seed))[:MAX_LISTS]
+        self.ratio = self.calibrated(self.sample, k, target)
         self.sample = None
         d = self.distances(self.c)
         np.fill_diagonal(d, np.inf)
@@ -94,23 +96,28 @@ class Index:
     def lists(self, x: np.ndarray) -> list[list[int]]:
         """The lists of each vector."""
         d = np.sqrt(self.distances(self.lifted(x)))
-        k = min(4 * COPIES, d.shape[1])
+        k = min(COPIES, d.shape[1])
         near = np.argpartition(d, k - 1, axis=1)[:, :k]
-        out = []
-        for i, own in enumerate(near):
-            own = own[np.lexsort((own, d[i, own]))]
-            most, taken = d[i, own[0]] * CLOSURE, [int(own[0])]
-            for j in own[1:].tolist():
-                if d[i, j] > most or len(taken) == COPIES:
-                    break
-                if all(((self.c[j] - self.c[t]) ** 2).sum() > d[i, j] ** 2 for t in taken):
-                    taken.append(j)
-            out.append(taken)
-        return out
-
-    def probes(self, q: np.ndarray, ratio: float) -> list[int]:
+        near = np.take_along_axis(near, np.argsort(np.take_along_axis(d, near, 1), axis=1, kind="stable"), 1)
+        own = np.take_along_axis(d, near, 1)
+        return [r[m].tolist() for r, m in zip(near, own <= own[:, :1] * CLOSURE, strict=True)]
+
+    def calibrated(self, x: np.ndarray, k: int, target: float) -> float:
+        """The distance ratio within which ``target`` of the k nearest of some rows of x are listed."""
+        if len(x) < 2 or len(self.c) < 2:
+            return 1.0
+        own = self.lists(x)
+        needed = []
+        for i in np.linspace(0, len(x) - 1, min(TRIALS, len(x))).astype(int):
+            s = x @ x[i]
+            s[i] = -np.inf
+            d = np.sqrt(((self.c - np.append(x[i], 0.0)) ** 2).sum(1))
+            needed += [d[own[j]].min() / max(d.min(), 1e-300) for j in np.argsort(-s, kind="stable")[: min(k, len(x) - 1)]]
+        return float(np.quantile(needed, target)) * (1 + 1e-9)
+
+    def probes(self, q: np.ndarray) -> list[int]:
         """The lists to probe for a query: best-first walk, then pruning by the distance ratio."""
-        lifted = np.append(q, 0.0)
+        lifted, ratio = np.append(q, 0.0), self.ratio
         dist = lambda nodes: np.sqrt(((self.c[nodes] - lifted) ** 2).sum(1))
         first = float(dist([self.start])[0])
         seen, open_, done = {self.start}, [(first, self.start)], [(-first, self.start)]
@@ -178,7 +185,7 @@ def best_of(k: int):
     return run
 
 
-def nearest(df: DataFrame, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", every: int = 20, ratio: float = RATIO, fit_rows: int = FIT_ROWS) -> DataFrame:
+def nearest(df: DataFrame, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", every: int = 20, target: float = TARGET, fit_rows: int = FIT_ROWS) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest found for every row whose id is divisible by ``every``.
 
     Null ids and vectors, zero vectors, vectors with null or non-finite components and those not of the most frequent length
@@ -193,10 +200,10 @@ def nearest(df: DataFrame, k: int = 20, vec_id: str = "vec_id", embedding: str =
         return empty
     own = own.where(F.size("e") == sizes.n)
     sample = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).select("e").toArrow()
-    index = spark.sparkContext.broadcast(Index(matrix(sample["e"]), sizes.rows).fit(math.sqrt(sizes.m)))
+    index = spark.sparkContext.broadcast(Index(matrix(sample["e"]), sizes.rows).fit(math.sqrt(sizes.m), k, target))
     is_query = F.pmod("vec_id", F.lit(every)) == 0
     rows = written(own.mapInArrow(listed(index, lambda i, x: i.lists(x)), "vec_id long, e array<double>, lists array<int>"))
-    queries = written(own.where(is_query).mapInArrow(listed(index, lambda i, x: [i.probes(q, ratio) for q in x]), "vec_id long, e array<double>, lists array<int>"))
+    queries = written(own.where(is_query).mapInArrow(listed(index, lambda i, x: [i.probes(q) for q in x]), "vec_id long, e array<double>, lists array<int>"))
 
     def blocks(x: DataFrame, name: str) -> DataFrame:
         n = x.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n"))
