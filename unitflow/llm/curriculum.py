@@ -58,6 +58,12 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     taken 0 and a null position; an empty table gives no rows. Other columns are not read. Reruns agree: the order is that of
     a hash of id and size, then id, then size.
     """
+    out = planned(df, doc_id, text, source, share, most, bucket_rows).drop("src")
+    return out.orderBy(F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last())
+
+
+def planned(df: DataFrame, doc_id: str, text: str, source: str, share: float, most: float, bucket_rows: int) -> DataFrame:
+    """What mix() returns, unsorted, and src."""
     size = F.coalesce(F.regexp_count(F.col(quoted(text)), F.lit(WORD)), F.lit(0)).cast("long")
     docs = df.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(source)).cast("string").alias("src"), size.alias("size"))
     docs = docs.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.col("size")))
@@ -88,5 +94,23 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     a = F.lit(SLOPE) * (1 - F.col("turn"))  # 1, 0, -1 for the three turns
     # a t^2 + (1 - a) t = u
     root = (2 * u) / ((1 - a) + F.sqrt((1 - a) * (1 - a) + 4 * a * u))
-    out = j.select("doc_id", "size", "source_size", "target", "taken", root.alias("position"))
-    return out.orderBy(F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last())
+    return j.select("doc_id", "src", "size", "source_size", "target", "taken", root.alias("position"))
+
+
+def mixed_rows(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The rows of ``df``, all columns, in training order, each once for each pass that takes words of it; a part counts as a whole.
+
+    Rows that the mix takes nothing of (and rows of size 0) go. Rows equal in id, source and size are alike. An empty table
+    gives no rows.
+    """
+    names = df.columns
+    size = F.coalesce(F.regexp_count(F.col(quoted(text)), F.lit(WORD)), F.lit(0)).cast("long")
+    rows = df.select(F.struct(*[F.col(quoted(c)) for c in names]).alias("row"), F.col(quoted(doc_id)).alias("id"), F.col(quoted(source)).cast("string").alias("src"), size.alias("words"))
+    # equal (id, source, size) rows are one decision; how many there are stays with it
+    plan = planned(df, doc_id, text, source, SHARE, MOST, BUCKET_ROWS).where("taken > 0")
+    plan = plan.groupBy("doc_id", "src", "size").agg(F.max("taken").alias("taken"), F.min("position").alias("position"))
+    on = F.col("id").eqNullSafe(F.col("doc_id")) & F.col("src").eqNullSafe(F.col("msrc")) & (F.col("words") == F.col("size"))
+    chosen = rows.join(plan.withColumnRenamed("src", "msrc").hint("shuffle_hash"), on)
+    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    out = chosen.withColumn("turn", F.explode(F.sequence(F.lit(1), copies)))
+    return out.orderBy(F.col("turn"), F.col("position"), F.col("id").asc_nulls_last()).select(*[F.col("row")[c].alias(c) for c in names])

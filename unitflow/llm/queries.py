@@ -57,8 +57,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_licenses, op4_mixing, op5_media, op6_ann, op7_suffix_dedup, op8_lm_score, op9_bpe, op10_token_counts)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_licenses, op4_mixing, op5_media, op6_ann, op7_suffix_dedup, op8_lm_score, op9_bpe, op10_token_counts, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -81,6 +81,22 @@ def grouped_bits(sample: np.ndarray, m: int) -> list[list[int]]:
     return parts
 
 
+def grouped_order(bits: np.ndarray, size: int = 16) -> np.ndarray:
+    """The columns of a 0/1 sample in an order in which correlated ones stand together, in groups of ``size``."""
+    x = bits.astype(np.float32) - bits.mean(0, dtype=np.float32)
+    spread = np.sqrt((x * x).mean(0))
+    near = np.abs(x.T @ x / max(1, len(x)) / np.maximum(np.outer(spread, spread), 1e-9))
+    free, out = np.ones(bits.shape[1], bool), []
+    while free.any():
+        first = int(free.argmax())
+        own = np.where(free, near[first], -1.0)
+        own[first] = 2.0
+        group = np.argsort(-own, kind="stable")[: min(size, int(free.sum()))]
+        out.append(group)
+        free[group] = False
+    return np.concatenate(out)
+
+
 def mask_of(bits: list[int]) -> int:
     return sum(1 << b for b in bits)
 
