@@ -1,0 +1,52 @@
+"""The whole run over generated extracts: the gate, the pointer, reruns and what is published."""
+
+import json
+
+import pytest
+
+from unitflow.operators import changes
+from unitflow.plans import pipeline
+from unitflow.plans.store import Store
+
+REASON = {"uom_resolution_coverage": "the vendor dropped the unit field in spring", "duration_plausibility": "known short visits of this clinic"}
+
+
+@pytest.fixture(scope="module")
+def runs(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("run")
+    return root, [pipeline.run(spark, root, "2026-05-01", a) for a in ({}, REASON, REASON)]
+
+
+def test_blocked_without_and_published_with_a_reason(runs):
+    root, (blocked, first, second) = runs
+    assert [r.failed_task for r in (blocked, first, second)] == [None] * 3, [x.error for r in (blocked, first, second) for x in r.runs if x.error]
+    assert not blocked.context["published"]
+    assert "uom_resolution_coverage" in blocked.context["decision"].blocking
+    assert first.context["published"]
+    assert second.context["verified"]
+    assert Store(root / "warehouse").pointer() == second.context["run"]
+    assert "published" in (root / "quality_report.md").read_text()
+
+
+def test_a_rerun_changes_nothing(spark, runs):
+    root, (_, first, second) = runs
+    s = Store(root / "warehouse")
+    assert all(d["added"] == d["removed"] == d["changed"] == 0 for d in second.context["diff"].values())
+    for t in ("fact_session", "utilization"):
+        assert changes.fingerprint(s.read(spark, t, first.context["run"])).first() == changes.fingerprint(s.read(spark, t)).first()
+    assert s.run_log(spark).count() == 3
+
+
+def test_what_is_published_has_no_raw_identifier(runs):
+    root, _ = runs
+    text = "".join(p.read_text() for p in (root / "exports").rglob("*") if p.is_file() and p.suffix in (".csv", ".json", ".md"))
+    assert "CLI-00" not in text
+    assert "AUTH-0" not in text
+    assert json.loads((root / "exports" / "payload.json").read_text())["headline"]["open_auths"] > 0
+    assert len(json.loads((root / "exports" / "relationships.json").read_text())) == 9
+
+
+def test_acknowledgements_need_reasons():
+    with pytest.raises(Exception, match="CHECK=REASON"):
+        pipeline.acknowledgement("x=short")
+    assert pipeline.acknowledgement("x=a good long reason") == ("x", "a good long reason")
