@@ -414,7 +414,9 @@ def spans_of(docs: DataFrame, group_rows: int) -> tuple[DataFrame, list[DataFram
     if hot.limit(1).count():
         windows = written(with_reps(hot).mapInArrow(window_rows, "w1 long, w2 long, d long, th long, start long").distinct())
         first = windows.groupBy("w1", "w2").agg(F.min(F.struct("d", "th", "start")).alias("f")).select("f.*")
-        later = written(windows.join(first, ["d", "th", "start"], "left_anti").select("d", "th", "start", (F.col("start") + LENGTH).alias("end")))
+        # a window that is a first place cancels out; the others are later ones
+        both = windows.select("d", "th", "start", F.lit(1).alias("n")).unionByName(first.select("d", "th", "start", F.lit(-1).alias("n")))
+        later = written(both.groupBy("d", "th", "start").agg(F.sum("n").alias("n")).where("n > 0").select("d", "th", "start", (F.col("start") + LENGTH).alias("end")))
         tidy(spark)
         spans.append(later)
         used += [windows, later]
