@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from .common import map_text
 from .token_count import byte_alphabet, encoder
 
-CHUNK_BITS, CHUNK_ENTRIES, WORD_ENTRIES = 9, 12_000, 500_000
+CHUNK_BITS, CHUNK_ENTRIES, WORD_ENTRIES = 9, 8_000, 250_000
 FACTOR = np.uint32(0x9E3779B1)
 #: Letters whose lower case is one letter in every library and which NFC leaves alone.
 SIMPLE = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")

@@ -15,6 +15,17 @@ from pyspark.sql import functions as F
 SLICE_ROWS, SLICE_BYTES = 2048, 16_000_000
 
 
+#: Rows of a batch between the JVM and a Python worker; the default would hold ten times as much text in both.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS rows; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS or int(spark.conf.get(name)) <= 0:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,6 +50,7 @@ def map_text(df: DataFrame, keep: list[str], text: str, fn: Callable[[pa.RecordB
 
     Only the named columns are read, so extra columns with any name do not matter.
     """
+    small_batches(df.sparkSession)
     names = [f"k{i}" for i in range(len(keep))]
     chosen = df.select(*[F.col(quoted(c)).alias(n) for c, n in zip(keep, names, strict=True)], F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")).cast("binary").alias("t"))
 
@@ -66,6 +78,14 @@ def held_out(doc_id: str, n: int) -> Column:
     return F.coalesce(bucket_of(doc_id, n) == 2, F.lit(False))
 
 
+def hash_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
+    """About ``rows`` of the ``total`` rows, the same in each run: those whose key's hash is small; 1.5 times as many at most."""
+    if total <= rows:
+        return df
+    place = F.xxhash64(F.col(key).cast("string"), F.lit(17)).cast("double") / F.lit(2.0**64) + 0.5
+    return df.where(place < F.lit(rows / total)).limit(rows * 3 // 2)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name below spark.checkpoint.dir; a temp folder's only if the setting is absent (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"

@@ -32,11 +32,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import forget, quoted, written
+from .common import quoted, small_batches, written
 
 LENGTH, GRAM = 100, 24
 RUN = LENGTH - GRAM + 1
-GROUP_ROWS, SAMPLE_ROWS, SLICE = 64, 1500, 3_000_000
+GROUP_ROWS, SAMPLE_ROWS, SLICE = 64, 1500, 1_000_000
 #: Bits of an anchor's class word that hold its offset in the run and the run's length.
 LOW = 7
 _random = np.random.default_rng(20240229)
@@ -391,6 +391,7 @@ def tidy(spark: SparkSession) -> None:
 def spans_of(docs: DataFrame, group_rows: int) -> tuple[DataFrame, list[DataFrame]]:
     """Covered spans (d, th, start, end) of ``docs`` (d, th, t), and the written tables to forget afterwards."""
     spark = docs.sparkSession
+    small_batches(spark)
     n = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     splitters = sampled_splitters(docs, 4 * n)
     anchors = docs.mapInArrow(anchor_rows(splitters), "bucket int, g long, c long, d long, th long, a long")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_of, forget, held_out, map_text, quoted, written
+from .common import bucket_of, forget, hash_sample, held_out, map_text, quoted, small_batches, written
 
 #: Seeds of the word classes.
 INSULTS = ("idiot", "moron", "scum", "trash", "loser", "worthless", "pathetic", "disgusting", "stupid", "clown")
@@ -118,9 +118,9 @@ def signal(t, toxic, c, clean):
     rate = (t + c) / max(1, toxic + clean)
 
     def part(k, n, p):
-        k = np.clip(k, 1e-9, max(n, 2e-9) - 1e-9)
-        p = np.clip(p, 1e-9, 1 - 1e-9)
-        return k * np.log(k / max(n, 1e-9) / p) + (n - k) * np.log((1 - k / max(n, 1e-9)) / (1 - p))
+        n = max(n, 1)
+        k, p = np.clip(k, 1e-6, n - 1e-6), np.clip(p, 1e-9, 1 - 1e-9)
+        return k * np.log(k / n / p) + (n - k) * np.log((1 - k / n) / (1 - p))
 
     return np.where(t * clean > c * toxic, 2 * (part(t, toxic, rate) + part(c, clean, rate)), 0.0)
 
@@ -194,15 +194,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray = PRIOR, streng
 
 
 def fit_grammar(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 4, fit_rows: int = FIT_ROWS) -> Grammar:
-    """Fit on labelled rows outside the held-out fold. At most ``fit_rows`` rows, chosen by a hash of the id, go into it.
+    """Fit on labelled rows outside the held-out fold. About ``fit_rows`` rows, chosen by a hash of the id, go into it (half more at most).
 
     Null ids and null labels take no part; an id labelled twice counts as toxic if one label says so. No labelled rows: the
     seeds and the prior.
     """
     own = labels.select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(label)).cast("int").alias("toxic"))
     own = own.where(F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & ~(bucket_of_id(folds) == 2)).groupBy("id").agg(F.max("toxic").alias("toxic"))
-    order = [F.xxhash64(F.col("id").cast("string")), F.col("id")]
-    chosen = [r for k in (0, 1) for r in own.where(F.col("toxic") == k).orderBy(*order).limit(fit_rows // 2).collect()]
+    sizes = {r.toxic: r.n for r in own.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen = [r for k, n in sorted(sizes.items()) for r in hash_sample(own.where(F.col("toxic") == k), "id", fit_rows // 2, n).collect()]
     if not chosen:
         return Grammar(dict.fromkeys(INSULTS, MIN_WEIGHT), {})
     spark = docs.sparkSession
@@ -248,6 +248,7 @@ def score_texts(df: DataFrame, grammar: Grammar, doc_id: str = "doc_id", text: s
 def keep_clean(df: DataFrame, grammar: Grammar, text: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows of ``df``, all columns, whose text scores below the threshold. Null text is kept."""
     fields = df.schema
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = fields.names.index(text)
