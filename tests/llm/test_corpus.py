@@ -305,7 +305,7 @@ def test_multikey_order():
 
 
 def test_lm_scores(odd_docs, odd_rows, no_docs):
-    got = ppm.score_texts(odd_docs, frequent_words=50).collect()
+    got = ppm.score_texts(odd_docs, frequent_words=3).collect()
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
     c = collections.Counter()
     for i, t, _ in odd_rows:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, held_out, quoted, written
+from .common import forget, held_out, quoted, small_batches, written
 from .suffix_dedup import texts_in
 
 MAX_ORDER, MAX_NODES, FREQUENT, RANGES, PIECE = 5, 4_000_000, 200_000, 48, 1_000_000
@@ -273,6 +273,19 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen = Counter()
 
 
+def frequent_from(words: DataFrame, most: int) -> int:
+    """A count that at most ``most`` words have or exceed, from a histogram of counts by their logarithm."""
+    step = F.floor(F.log2(F.col("n").cast("double")) * 16)
+    found = words.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least")).collect()
+    total, least = 0, 1 << 62
+    for r in sorted(found, key=lambda r: -r.step):
+        total += r.words
+        if total > most:
+            break
+        least = r.least
+    return least
+
+
 def score_rows(trie, frequent):
     """(doc_id, held_out, t) to one row a text: what the broadcast tables tell, and the words they do not have."""
     fields = pa.list_(pa.struct([("w", pa.binary()), ("k", pa.int32())]))
@@ -312,6 +325,7 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", folds
     probability of each symbol 1/256. An empty table gives no rows; other columns are not read.
     """
     spark = df.sparkSession
+    small_batches(spark)
     kind = df.schema[doc_id].dataType.simpleString()
     t = F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")).cast("binary").alias("t")
     docs = df.select(F.col(quoted(doc_id)).alias("doc_id"), held_out(doc_id, folds).alias("held_out"), t)
@@ -319,7 +333,8 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", folds
     trie = spark.sparkContext.broadcast(fit_trie(training, max_order, max_nodes))
     words = written(training.mapInArrow(count_words, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")))
     all_n, all_v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = words.orderBy(F.col("n").desc(), "w").limit(frequent_words).collect()  # frequent_words rows at most
+    top = words.where(F.col("n") >= frequent_from(words, frequent_words)).collect()  # frequent_words rows at most
+    top += words.where(F.col("w") == F.lit(END_WORD)).collect()  # the end of a text is looked up here only
     frequent = spark.sparkContext.broadcast({bytes(r.w): math.log10(r.n + 1) for r in top})
     scored = written(docs.mapInArrow(score_rows(trie, frequent), f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, total double, score double, rest array<struct<w:binary,k:int>>"))
     rest = scored.select("row", F.explode("rest").alias("x")).select("row", "x.w", "x.k")

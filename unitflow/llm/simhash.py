@@ -8,7 +8,8 @@ threshold -1 is not probed. So a probe is always "equal on a mask", its bucket t
 
 Equal fingerprints are one node. A bucket of more than ``bucket_rows`` nodes is cut again: the bits outside its mask are dealt
 into k + 1 parts, one of which must agree. With few bits left a bucket is small, as nodes differ. In a bucket all pairs are
-verified, and only a spanning forest of the links leaves the task; the components of all forests are those of all links.
+verified, and of the links only pairs (node, least node that it is linked to, directly or not) leave the task; the components of
+these pairs are those of all links.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, map_text, written
+from .common import forget, hash_sample, map_text, written
 from .components import components
 
 WORDS, DISTANCE, BUCKET_ROWS, SAMPLE_ROWS, SEED = 3, 3, 512, 20_000, 42
@@ -164,7 +165,7 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 
 def verify(distance: int):
-    """Rows (mask, v, f) sorted by bucket to the links of a spanning forest of each bucket's pairs."""
+    """Rows (mask, v, f) sorted by bucket to pairs (f, least f of its component in the bucket)."""
 
     def links(group: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n, first, second, lag = len(f), [], [], 1
@@ -206,10 +207,10 @@ def verify(distance: int):
 
 
 def link_forest(nodes: DataFrame, distance: int = DISTANCE, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Links (a, b) between distinct fingerprints f at ``distance`` or less; their components are those of all such links."""
+    """Pairs (a, b) of distinct fingerprints f whose components are those of all links at ``distance`` or less."""
     spark = nodes.sparkSession
     n = nodes.count()
-    sample = np.array([r[0] for r in nodes.orderBy(F.xxhash64("f")).limit(SAMPLE_ROWS).collect()], np.int64).view(np.uint64)
+    sample = np.array([r[0] for r in hash_sample(nodes.select("f"), "f", SAMPLE_ROWS, n).collect()], np.int64).view(np.uint64)
     masks = plan(sample, n, distance) if n else []
     out = None
     rows = nodes.select("f")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, map_text, quoted, written
+from .common import forget, hash_sample, map_text, quoted, written
 from .components import components
 from .simhash import SEED, SPREAD, grouped_order, shingles
 
@@ -210,7 +210,7 @@ def decided(docs: DataFrame, similarity: float, words: int, recall: float) -> Da
     # a node's number is a hash of the fingerprint and the number of shingles
     nodes = written(rows.groupBy("fp", "size").agg(first, F.first("check").alias("check")).withColumn("node", F.xxhash64("fp", "size")))
     n = nodes.count()
-    sample = unpacked([bytes(r[0]) for r in nodes.orderBy("node").limit(SAMPLE_ROWS).select("fp").collect()]) if n else None
+    sample = unpacked([bytes(r[0]) for r in hash_sample(nodes, "node", SAMPLE_ROWS, n).select("fp").collect()]) if n else None
     if n < 2:
         return nodes.select("least.id", "least.th")
     parts = parts_of(sample, n, similarity, recall)
