@@ -8,8 +8,9 @@ the nearest. A query searches the centroids by a best-first walk on their neighb
 is within a ratio of the nearest. The ratio is calibrated: the one that reaches ``target`` of the true neighbours of some
 sample rows within the sample. Neighbours in all rows are nearer than those in a sample, so the recall is no lower there.
 
-A list of more than ``block_rows`` vectors or queries is dealt into blocks by a hash, and each pair of blocks is a task's
-group. Scores are inner products in double precision of the original vectors, summed in one fixed order.
+Neighbouring lists make up shards of SHARD_ROWS vectors; a list that is larger is dealt over several shards by a hash. A query
+goes to the shards that hold lists it probes, once each, and leaves each with k rows. Queries of a shard are dealt into
+blocks by a hash. Scores are inner products in double precision of the original vectors, summed in one fixed order.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import quoted, written
+from .common import hash_sample, quoted, written
 
-FIT_ROWS, MAX_LISTS, LIST_ROWS, BLOCK_ROWS = 16_384, 4096, 256, 4096
+FIT_ROWS, MAX_LISTS, LIST_ROWS, SHARD_ROWS, QUERY_ROWS = 16_384, 4096, 256, 8192, 4096
 COPIES, CLOSURE, TARGET, TRIALS, DEGREE, BEAM = 3, 1.02, 0.97, 256, 24, 64
 
 
@@ -145,42 +147,104 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def listed(index, of):
+def listed(index):
     """(vec_id, e) to (vec_id, e, lists)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(of(index.value, matrix(part.column(1))), pa.list_(pa.int32()))], ["vec_id", "e", "lists"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(index.value.lists(matrix(part.column(1))), pa.list_(pa.int32()))], ["vec_id", "e", "lists"])
 
     return run
 
 
+def sharded(sizes: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """(first shard, shards) of each list: lists in order fill shards; a large list has shards of its own."""
+    out, shard, filled = {}, 0, 0
+    for j in sorted(sizes):
+        n = -(-sizes[j] // SHARD_ROWS)
+        if filled and (n > 1 or filled + sizes[j] > SHARD_ROWS):
+            shard, filled = shard + 1, 0
+        out[j] = (shard, n)
+        if n > 1:
+            shard += n
+        else:
+            filled += sizes[j]
+    return out
+
+
+def probing(index, shards):
+    """Queries (vec_id, e) to one row a shard: (shard, vec_id, e, lists probed there)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard, row, lists = [], [], []
+            for i, q in enumerate(matrix(batch.column(1)) if batch.num_rows else ()):
+                own: dict[int, list[int]] = {}
+                for j in index.value.probes(q):
+                    first, n = shards.value.get(j, (0, 0))
+                    for k in range(first, first + n):
+                        own.setdefault(k, []).append(j)
+                for k, js in own.items():
+                    shard.append(k)
+                    row.append(i)
+                    lists.append(js)
+            chosen = batch.take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), *chosen.columns, pa.array(lists, pa.list_(pa.int32()))], ["shard", "vec_id", "e", "lists"])
+
+    return run
+
+
+def scored(q: np.ndarray, qid: np.ndarray, x: np.ndarray, vid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, row of x, product) of each query's k best rows, ties to the smaller id."""
+    s = q @ x.T
+    s[qid[:, None] == vid] = -np.inf
+    # products near the k-th stay until they are summed in the fixed order
+    slack = 1e-9 * max(1e-300, float(np.abs(q).max() * np.abs(x).max())) * q.shape[1]
+    least = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(s), -np.inf)
+    i, j = np.nonzero((s >= least[:, None] - slack) & (s > -np.inf))
+    return best(i, j, np.einsum("ij,ij->i", q[i], x[j]), vid, k)
+
+
+def best(i: np.ndarray, j: np.ndarray, s: np.ndarray, vid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((vid[j], -s, i))
+    i, j, s = i[order], j[order], s[order]
+    # a vector of several lists stands beside its copy
+    new = np.concatenate([[True], (i[1:] != i[:-1]) | (vid[j][1:] != vid[j][:-1])]) if len(i) else np.zeros(0, bool)
+    i, j, s = i[new], j[new], s[new]
+    keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+    return i[keep], j[keep], s[keep]
+
+
 def best_of(k: int):
-    """One pair of blocks to each query's k best in it."""
+    """One shard's block of queries to each query's k best there."""
 
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        out: list[list[np.ndarray]] = [[], [], []]
+        out: list[tuple] = []
         if queries.num_rows and rows.num_rows:
             qid, q = queries["vec_id"].to_numpy(), matrix(queries["e"])
-            vid, x = rows["vec_id"].to_numpy(), matrix(rows["e"])
-            slack = 1e-9 * max(1e-300, float(np.abs(q).max() * np.abs(x).max())) * q.shape[1]
-            for at in range(0, len(qid), 256):
-                s = q[at : at + 256] @ x.T
-                s[qid[at : at + 256, None] == vid] = -np.inf
-                # near ties at the end stay until they are summed in the fixed order
-                least = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(s), -np.inf)
-                i, j = np.nonzero((s >= least[:, None] - slack) & (s > -np.inf))
-                exact = np.einsum("ij,ij->i", q[at + i], x[j])
-                order = np.lexsort((vid[j], -exact, i))
-                i, j, exact = i[order], j[order], exact[order]
-                rank = np.arange(len(i)) - np.searchsorted(i, i)
-                keep = rank < k
-                for o, v in zip(out, (qid[at + i], vid[j], exact), strict=True):
-                    o.append(v[keep])
-        cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
-        return pa.table({"query_id": pa.array(cat(out[0], np.int64)), "vec_id": pa.array(cat(out[1], np.int64)), "score": pa.array(cat(out[2], np.float64))})
+            probed = queries["lists"].combine_chunks()
+            row = np.repeat(np.arange(len(qid)), pc.list_value_length(probed).to_numpy())
+            which = probed.flatten().to_numpy()
+            order = np.argsort(rows["list"].to_numpy(), kind="stable")
+            rows = rows.take(pa.array(order))
+            lst, vid, x = rows["list"].to_numpy(), rows["vec_id"].to_numpy(), matrix(rows["e"])
+            for at in range(0, len(qid), 512):
+                some = (row >= at) & (row < at + 512)
+                found = []
+                for j in np.unique(which[some]):
+                    a, b = np.searchsorted(lst, [j, j + 1])
+                    if a == b:
+                        continue
+                    own = row[some][which[some] == j]
+                    i, v, s = scored(q[own], qid[own], x[a:b], vid[a:b], k)
+                    found.append((own[i], v + a, s))
+                if found:
+                    i, v, s = best(*(np.concatenate(f) for f in zip(*found, strict=True)), vid, k)
+                    out.append((qid[i], vid[v], s))
+        cols = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        return pa.table(cols, ["query_id", "vec_id", "score"])
 
     return run
 
@@ -199,26 +263,22 @@ def nearest(df: DataFrame, k: int = 20, vec_id: str = "vec_id", embedding: str =
     if sizes is None:
         return empty
     own = own.where(F.size("e") == sizes.n)
-    sample = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).select("e").toArrow()
+    sample = hash_sample(own, "vec_id", fit_rows, sizes.rows).select("e").toArrow()
     index = spark.sparkContext.broadcast(Index(matrix(sample["e"]), sizes.rows).fit(math.sqrt(sizes.m), k, target))
     is_query = F.pmod("vec_id", F.lit(every)) == 0
-    rows = written(own.mapInArrow(listed(index, lambda i, x: i.lists(x)), "vec_id long, e array<double>, lists array<int>"))
-    queries = written(own.where(is_query).mapInArrow(listed(index, lambda i, x: [i.probes(q) for q in x]), "vec_id long, e array<double>, lists array<int>"))
-
-    def blocks(x: DataFrame, name: str) -> DataFrame:
-        n = x.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n"))
-        return n.select("list", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.lit(1)).cast("int").alias(name))
-
-    grid = blocks(rows, "rb").join(blocks(queries, "qb"), "list").collect()  # one row a list, MAX_LISTS at most
-    shape = F.broadcast(spark.createDataFrame(grid, "list int, rb int, qb int"))
-
-    def dealt(x: DataFrame, mine: str, other: str) -> DataFrame:
-        x = x.select("vec_id", "e", F.explode("lists").alias("list")).join(shape, "list")
-        x = x.withColumn(mine, F.pmod(F.xxhash64("vec_id"), F.col(mine)).cast("int"))
-        return x.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).select("list", "rb", "qb", "vec_id", "e")
-
-    key = ("list", "rb", "qb")
-    pairs = dealt(queries, "qb", "rb").groupBy(*key).cogroup(dealt(rows, "rb", "qb").groupBy(*key))
+    rows = written(own.mapInArrow(listed(index), "vec_id long, e array<double>, lists array<int>").select("vec_id", "e", F.explode("lists").alias("list")))
+    counts = rows.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()  # MAX_LISTS at most
+    place = sharded({r.list: r.n for r in counts})
+    shards = spark.sparkContext.broadcast(place)
+    queries = written(own.where(is_query).mapInArrow(probing(index, shards), "shard int, vec_id long, e array<double>, lists array<int>"))
+
+    where = F.broadcast(spark.createDataFrame([(j, a, n) for j, (a, n) in place.items()], "list int, first int, shards int"))
+    blocks = queries.groupBy("shard").agg(F.greatest(F.ceil(F.count(F.lit(1)) / QUERY_ROWS), F.lit(1)).cast("int").alias("blocks"))
+    spread = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    dealt = rows.join(where, "list").withColumn("shard", F.col("first") + spread("shards")).join(blocks, "shard")
+    dealt = dealt.select("shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "list", "vec_id", "e")
+    asked = queries.join(blocks, "shard").select("shard", spread("blocks").alias("block"), "vec_id", "e", "lists")
+    pairs = asked.groupBy("shard", "block").cogroup(dealt.groupBy("shard", "block"))
     found = pairs.applyInArrow(best_of(k), "query_id long, vec_id long, score double")
     one = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     by = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
