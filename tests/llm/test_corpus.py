@@ -136,6 +136,28 @@ def test_keep_one_of_similar_documents(spark, odd_docs, no_docs):
     assert simhash_groups.keep_one(no_docs).count() == 0
 
 
+def test_keep_one_against_exact_jaccard(spark):
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    docs = []
+    # appended words: s shared shingles of s + b, from well below to just below, at and above 0.8
+    for s in (4, 5, 6, 8, 12, 20, 40, 48, 52, 56, 60, 64, 100, 200, 400):
+        for share in (0.72, 0.76, 0.79, 0.8, 0.81, 0.84, 0.9):
+            base = [word() for _ in range(s + 4)]
+            docs += [base, base + [word() for _ in range(round(s / share) - s)]]
+    sets = [{tuple(d[i : i + 5]) for i in range(len(d) - 4)} for d in docs]
+    pairs = [(i, i + 1) for i in range(0, len(docs), 2) if len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) >= 0.8]
+    assert 50 < len(pairs) < len(docs) // 2
+    want = {n for n, root in rooted(pairs, range(len(docs))).items() if n == root}
+    rows = [(i, " ".join(d)) for i, d in enumerate(docs)]
+    got = {x.doc_id for x in simhash_groups.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got >= want  # nothing below 0.8 goes
+    assert len(got - want) <= 1  # met with probability 0.999
+    # ten words and one more
+    ten = " ".join(docs[4][:10])
+    assert simhash_groups.keep_one(spark.createDataFrame([(1, ten), (2, ten + " more")], "doc_id long, text string")).count() == 1
+
+
 # --- mixing ------------------------------------------------------------------------------------------------------------
 
 

@@ -4,9 +4,13 @@ At a Jaccard similarity of 0.8 about 15 % of a fingerprint's bits differ, so 64
 nor can a worst-case pigeonhole prune. Here a fingerprint has 1024 bits, and the pigeonhole holds in probability: parts of
 correlated bits, about log2(nodes) wide, are probed by their value, and a dynamic programme over the parts picks which to probe
 (threshold 0) and which to skip (threshold -1) at the least estimated number of candidates, such that a pair at the
-similarity agrees on a probed part with probability ``recall``. Candidates are checked on 64 further bits, then verified
-on all 1024: the angle gives the cosine of the shingle sets, and with their sizes the Jaccard similarity (standard error 0.015 near 0.8).
-Equal fingerprints are one node from the start.
+similarity agrees on a probed part with probability ``recall``. The bits of small sets are biased (ties), so sets of up to SHORT
+shingles are probed by bands of minimum hashes too, where a pair agrees with a probability that is exact at every size.
+
+Fingerprints only propose: candidates are checked on 64 further bits, pairs of larger sets then on all 1024, where the estimate
+(standard error 0.015 near 0.8) may fall short of the similarity by MARGIN. What is left of a group goes on with its shingle sets,
+and each link is decided by the exact Jaccard similarity of the sets (of 64-bit hashes of the shingles). Equal sets are one
+node from the start.
 """
 
 from __future__ import annotations
@@ -25,19 +29,37 @@ from .common import forget, hash_sample, map_text, quoted, written
 from .components import components
 from .simhash import SEED, SPREAD, grouped_order, shingles
 
-WORDS, SIMILARITY, RECALL, LANES, SAMPLE_ROWS, CHECK_BITS = 5, 0.8, 0.99, 16, 3000, 22
+WORDS, SIMILARITY, RECALL, LANES, SAMPLE_ROWS, CHECK_BITS, MARGIN = 5, 0.8, 0.999, 16, 3000, 22, 0.08
+#: Sets of up to SHORT shingles have BANDS keys of BAND minimum hashes each and CHECK_BITS_SHORT.
+SHORT, BANDS, BAND, CHECK_BITS_SHORT = 64, 30, 6, 30
+#: Added to the share of differing bits: exact binomials give 0.0025 more than the angle at 52 shingles, the least size that bits must find.
+BIAS = 0.003
 #: Odd factors that make further hashes of a hash; the last is for the check bits.
 FACTORS = np.random.default_rng(99).integers(0, 1 << 63, LANES + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+XORS, ODDS = np.random.default_rng(98).integers(0, 1 << 63, (2, BANDS * BAND), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def wide_of(text: bytes, words: int = WORDS) -> tuple[bytes, int, int]:
-    """(1024 bits, 64 check bits as a signed number, number of different shingles)."""
+def set_of(text: bytes, words: int = WORDS) -> np.ndarray:
+    """Sorted hashes of the different shingles."""
     own = shingles(text, words)
-    if not own:
-        return bytes(8 * LANES), 0, 0
-    digest = xxhash.xxh64_intdigest
-    h = np.unique(np.fromiter([digest(s, SEED) for s in own], np.uint64, len(own)))
+    return np.unique(np.fromiter([xxhash.xxh64_intdigest(s, SEED) for s in own], np.uint64, len(own)))
+
+
+def bands_of(h: np.ndarray) -> np.ndarray:
+    """BANDS negative numbers, each a hash of BAND minimum hashes of the set."""
+    x = (h[:, None] ^ XORS) * ODDS
+    x ^= x >> np.uint64(32)
+    least = (x * FACTORS[0]).min(0).reshape(BANDS, BAND)
+    return np.array([-1 - (xxhash.xxh64_intdigest(b.tobytes(), i) >> 1) for i, b in enumerate(least)], np.int64)
+
+
+def wide_of(text: bytes, words: int = WORDS) -> tuple[bytes, int, int, int, np.ndarray | None]:
+    """(1024 bits, 64 check bits as a signed number, number of different shingles, hash of their set, bands of a small set)."""
+    h = set_of(text, words)
     n, out = len(h), []
+    node = xxhash.xxh64_intdigest(h.tobytes(), SEED) - (1 << 63)
+    if not n:
+        return bytes(8 * LANES), 0, 0, node, None
     starts = np.arange(0, n, 255)
     for f in FACTORS:
         x = h * f
@@ -47,7 +69,7 @@ def wide_of(text: bytes, words: int = WORDS) -> tuple[bytes, int, int]:
         lanes = np.add.reduceat(SPREAD[x.view(np.uint8).reshape(n, 8)], starts, axis=0)
         counts = lanes.view(np.uint8).reshape(len(lanes), 64).sum(0, dtype=np.int64)
         out.append(np.packbits(counts * 2 > n, bitorder="little"))
-    return b"".join(o.tobytes() for o in out[:-1]), int(out[-1].view(np.int64)[0]), n
+    return b"".join(o.tobytes() for o in out[:-1]), int(out[-1].view(np.int64)[0]), n, node, bands_of(h) if n <= SHORT else None
 
 
 def differing(similarity: float) -> float:
@@ -63,7 +85,7 @@ def parts_of(sample: np.ndarray, n: int, similarity: float, recall: float) -> li
     pair is missed, the cheapest choice.
     """
     width = min(24, max(12, math.ceil(math.log2(max(2, n)))))
-    agree = (1 - differing(similarity)) ** width
+    agree = (1 - differing(similarity) - BIAS) ** width
     need = math.ceil(math.log(1 - recall) / math.log(1 - agree))
     order = grouped_order(sample)
     rng = np.random.default_rng(5)
@@ -149,6 +171,7 @@ def close_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in grouped(batches):
         key, node, check = (table.column(i).to_numpy() for i in range(3))
         check = check.view(np.uint64)
+        most = np.where(key < 0, CHECK_BITS_SHORT, CHECK_BITS)
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.append(start, len(key)))
         fine = np.zeros(len(key), bool)
@@ -158,26 +181,27 @@ def close_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         while len(live):
             live = live[live + lag < len(key)]
             live = live[key[live] == key[live + lag]]
-            hit = live[np.bitwise_count(check[live] ^ check[live + lag]) <= CHECK_BITS]
+            hit = live[np.bitwise_count(check[live] ^ check[live + lag]) <= most[live]]
             fine[hit] = fine[hit + lag] = True
             lag += 1
         for s, n in zip(start[size > 64].tolist(), size[size > 64].tolist(), strict=True):
             own = check[s : s + n]
-            for a, b in searched(n, lambda x, rest, own=own: np.bitwise_count(own[x] ^ own[rest]) <= CHECK_BITS):
+            for a, b in searched(n, lambda x, rest, own=own, most=most[s]: np.bitwise_count(own[x] ^ own[rest]) <= most):
                 fine[s + a] = fine[s + b] = True
         if fine.any():
             yield pa.RecordBatch.from_arrays([pa.array(key[fine]), pa.array(node[fine])], ["key", "node"])
 
 
 def similar(x: np.ndarray, size: float, rest: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether the Jaccard similarity that the bits tell reaches ``similarity``."""
+    """Whether the Jaccard similarity that the bits tell may reach ``similarity``; of small sets whether the sizes allow it."""
     bits = np.bitwise_count(x ^ rest).sum(1)
     both = np.cos(np.pi * bits / (64 * LANES)) * np.sqrt(size * sizes)
-    return (bits == 0) | (both >= similarity * (size + sizes - both))
+    may = both >= (similarity - MARGIN) * (size + sizes - both)
+    return (may | (np.minimum(size, sizes) <= SHORT)) & (np.minimum(size, sizes) / np.maximum(size, sizes) >= similarity)
 
 
-def linked_rows(similarity: float):
-    """(key, node, fp, size) sorted by key to links (a, b)."""
+def proposed_rows(similarity: float):
+    """(key, node, fp, size) sorted by key to (team, node): the components of similar() in each group, numbered by a hash of their nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches):
@@ -185,10 +209,57 @@ def linked_rows(similarity: float):
             fp = np.frombuffer(b"".join(table.column(2).to_pylist()), np.uint64).reshape(len(key), LANES)
             size = table.column(3).to_numpy().astype(float)
             start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            a, b = [], []
+            teams, nodes, seen = [], [], set()
             for s, e in zip(start.tolist(), np.append(start[1:], len(key)).tolist(), strict=True):
                 near = lambda x, rest, s=s: similar(fp[s + x], size[s + x], fp[s + rest], size[s + rest], similarity)
-                for x, y in searched(e - s, near):
+                at: dict[int, int] = {}
+                own: dict[int, list[int]] = {}
+                for x, y in searched(e - s, near):  # breadth-first: x is the first of its component or has been reached
+                    at[y] = at.get(x, x)
+                    own.setdefault(at[y], [at[y]]).append(y)
+                for rows in own.values():
+                    team = np.sort(node[s + np.array(rows)])
+                    number = xxhash.xxh64_intdigest(team.tobytes(), SEED) - (1 << 63)
+                    if number not in seen:
+                        seen.add(number)
+                        teams.append(np.full(len(team), number))
+                        nodes.append(team)
+            if teams:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(teams)), pa.array(np.concatenate(nodes))], ["team", "node"])
+
+    return run
+
+
+def reaching(sets: list[np.ndarray], sizes: np.ndarray, similarity: float):
+    """Whether the exact Jaccard similarity of set x and each of ``rest`` reaches ``similarity``; no set is empty."""
+
+    def near(x: int, rest: np.ndarray) -> np.ndarray:
+        own, out = sets[x], np.zeros(len(rest), bool)
+        may = np.flatnonzero(np.minimum(sizes[x], sizes[rest]) / np.maximum(sizes[x], sizes[rest]) >= similarity)
+        for at in range(0, len(may), 256):
+            some = may[at : at + 256]
+            n = sizes[rest[some]]
+            flat = np.concatenate([sets[r] for r in rest[some].tolist()])
+            hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+            both = np.add.reduceat(hit.astype(np.int64), np.cumsum(n) - n)
+            out[some] = both / (len(own) + n - both) >= similarity
+        return out
+
+    return near
+
+
+def linked_rows(similarity: float):
+    """(team, node, set) sorted by team to links (a, b): a spanning forest of the pairs that reach the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in grouped(batches):
+            team, node = table.column(0).to_numpy(), table.column(1).to_numpy()
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for c in table.column(2).chunks for x in c]
+            sizes = np.array([len(x) for x in sets])
+            start = np.flatnonzero(np.concatenate([[True], team[1:] != team[:-1]]))
+            a, b = [], []
+            for s, e in zip(start.tolist(), np.append(start[1:], len(team)).tolist(), strict=True):
+                for x, y in searched(e - s, reaching(sets[s:e], sizes[s:e], similarity)):
                     a.append(node[s + x])
                     b.append(node[s + y])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -202,26 +273,39 @@ def decided(docs: DataFrame, similarity: float, words: int, recall: float) -> Da
 
     def fn(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         made = [wide_of(t, words) for t in texts]
-        return pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array([m[i] for m in made], t) for i, t in ((0, pa.binary()), (1, pa.int64()), (2, pa.int64())))], ["id", "th", "fp", "check", "size"])
+        types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+        return pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array([m[i] for m in made], t) for i, t in enumerate(types))], ["id", "th", "fp", "check", "size", "node", "bands"])
+
+    def sets(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([part.column(0), pa.array([set_of(t, words).tobytes() for t in texts], pa.binary())], ["node", "set"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    rows = written(map_text(docs, ["id", "th"], "t", fn, f"id {kind}, th long, fp binary, check long, size long"))
+    rows = written(map_text(docs, ["id", "th"], "t", fn, f"id {kind}, th long, fp binary, check long, size long, node long, bands array<long>"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("least")
-    # a node's number is a hash of the fingerprint and the number of shingles
-    nodes = written(rows.groupBy("fp", "size").agg(first, F.first("check").alias("check")).withColumn("node", F.xxhash64("fp", "size")))
-    n = nodes.count()
-    sample = unpacked([bytes(r[0]) for r in hash_sample(nodes, "node", SAMPLE_ROWS, n).select("fp").collect()]) if n else None
-    if n < 2:
+    # a node's number is a hash of its set of shingles
+    nodes = written(rows.groupBy("node").agg(first, *(F.first(c).alias(c) for c in ("fp", "check", "size", "bands"))))
+    if nodes.count() < 2:
         return nodes.select("least.id", "least.th")
-    parts = parts_of(sample, n, similarity, recall)
-    probes = nodes.select("node", "fp", "check").mapInArrow(probe_rows(parts), "key long, node long, check long")
+    long = nodes.where(F.col("size") >= F.lit(SHORT * similarity))
+    n = long.count()
+    probes = nodes.select(F.explode("bands").alias("key"), "node", "check")
+    if n > 1:
+        sample = unpacked([bytes(r[0]) for r in hash_sample(long, "node", SAMPLE_ROWS, n).select("fp").collect()])
+        parts = parts_of(sample, n, similarity, recall)
+        probes = probes.unionByName(long.select("node", "fp", "check").mapInArrow(probe_rows(parts), "key long, node long, check long"))
     close = written(probes.repartition("key").sortWithinPartitions("key").mapInArrow(close_rows, "key long, node long"))
     held = close.join(nodes.select("node", "fp", "size"), "node").select("key", "node", "fp", "size")
-    links = written(held.repartition("key").sortWithinPartitions("key").mapInArrow(linked_rows(similarity), "a long, b long"))
+    teams = written(held.repartition("key").sortWithinPartitions("key").mapInArrow(proposed_rows(similarity), "team long, node long").distinct())
+    # the text of each proposed node's first row gives its set again
+    asked = nodes.join(teams.select("node").distinct(), "node").select("node", F.col("least.id").alias("least_id"), F.col("least.th").alias("least_th"))
+    texts = docs.join(asked.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("least_id")) & (F.col("th") == F.col("least_th"))).select("node", "t")
+    made = written(map_text(texts, ["node"], "t", sets, "node long, set binary").dropDuplicates(["node"]))
+    pairs = teams.join(made, "node").select("team", "node", "set")
+    links = written(pairs.repartition("team").sortWithinPartitions("team").mapInArrow(linked_rows(similarity), "a long, b long"))
     roots = nodes.join(components(links), "node", "left").select(F.coalesce("root", "node").alias("root"), "least")
     kept = roots.groupBy("root").agg(F.min("least").alias("least")).select("least.id", "least.th")
     kept = written(kept)
-    for x in (rows, nodes, close, links):
+    for x in (rows, nodes, close, teams, made, links):
         forget(x)
     return kept
 
@@ -229,7 +313,7 @@ def decided(docs: DataFrame, similarity: float, words: int, recall: float) -> Da
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, words: int = WORDS, recall: float = RECALL) -> DataFrame:
     """The rows of ``df``, all columns: of each group of near-duplicates the one with the least id (null ids last) stays.
 
-    Groups are the components of pairs with an (estimated) Jaccard similarity of ``similarity`` or more of their sets of
+    Groups are the components of pairs with a Jaccard similarity of ``similarity`` or more of their sets of
     ``words``-word shingles; a text with fewer words is one shingle, texts without words (and null texts) are alike. Of rows
     equal in id and text one stays. An empty table gives none; extra columns stay as they are.
     """
