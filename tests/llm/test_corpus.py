@@ -267,6 +267,19 @@ def test_recall(spark):
     assert hit / n >= 0.9
 
 
+def test_every_query_gets_k_rows(spark, monkeypatch):
+    monkeypatch.setattr(spann, "LIST_ROWS", 4)
+    r = np.random.default_rng(5)
+    centre = r.normal(size=(60, 16))
+    x = np.repeat(centre / np.linalg.norm(centre, axis=1)[:, None], 5, axis=0) + r.normal(size=(300, 16)) * 1e-4
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    # 200 rows of one id around a query
+    rows += [(301, (x[0] + r.normal(size=16) * 1e-5).tolist()) for _ in range(200)]
+    got = collections.Counter(g.query_id for g in spann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == dict.fromkeys(range(0, 300, 20), 20)
+
+
 # --- repeated strings --------------------------------------------------------------------------------------------------
 
 

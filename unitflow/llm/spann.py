@@ -5,7 +5,7 @@ query), so that the nearest vector is the one with the largest inner product. Ce
 of a bounded sample (``fit_rows``): clusters above the leaf size are split again, which keeps lists balanced. Every vector
 is put into the list of its nearest centroid and, near a boundary, into further ones whose distance is within CLOSURE times
 the nearest. A query searches the centroids by a best-first walk on their neighbour graph and probes the lists whose distance
-is within a ratio of the nearest. The ratio is calibrated: the one that reaches ``target`` of the true neighbours of some
+is within a ratio of the nearest, and the next nearest until they hold more than k different rows. The ratio is calibrated: the one that reaches ``target`` of the true neighbours of some
 sample rows within the sample. Neighbours in all rows are nearer than those in a sample, so the recall is no lower there.
 
 Neighbouring lists make up shards of SHARD_ROWS vectors; a list that is larger is dealt over several shards by a hash. A query
@@ -117,8 +117,8 @@ class Index:
             needed += [d[own[j]].min() / max(d.min(), 1e-300) for j in np.argsort(-s, kind="stable")[: min(k, len(x) - 1)]]
         return float(np.quantile(needed, target)) * (1 + 1e-9)
 
-    def probes(self, q: np.ndarray) -> list[int]:
-        """The lists to probe for a query: best-first walk, then pruning by the distance ratio."""
+    def probes(self, q: np.ndarray, sizes: dict[int, int] | None = None, floor: int = 0) -> list[int]:
+        """The lists to probe for a query: best-first walk, pruning by the distance ratio, then the next nearest up to ``floor`` rows."""
         lifted, ratio = np.append(q, 0.0), self.ratio
         dist = lambda nodes: np.sqrt(((self.c[nodes] - lifted) ** 2).sum(1))
         first = float(dist([self.start])[0])
@@ -139,7 +139,16 @@ class Index:
                     if len(done) > BEAM and -done[0][0] > best * ratio:
                         heapq.heappop(done)
         least = -max(done)[0]
-        return sorted(j for d, j in done if -d <= least * ratio)
+        out = {j for d, j in done if -d <= least * ratio}
+        rows = sum(sizes.get(j, 0) for j in out) if sizes is not None else floor
+        if rows < floor:
+            for j in np.argsort(dist(np.arange(len(self.c))), kind="stable").tolist():
+                if j not in out:
+                    out.add(j)
+                    rows += sizes.get(j, 0)
+                    if rows >= floor:
+                        break
+        return sorted(out)
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -174,7 +183,7 @@ def sharded(sizes: dict[int, int]) -> dict[int, tuple[int, int]]:
     return out
 
 
-def probing(index, shards):
+def probing(index, shards, sizes, floor):
     """Queries (vec_id, e) to one row a shard: (shard, vec_id, e, lists probed there)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +191,7 @@ def probing(index, shards):
             shard, row, lists = [], [], []
             for i, q in enumerate(matrix(batch.column(1)) if batch.num_rows else ()):
                 own: dict[int, list[int]] = {}
-                for j in index.value.probes(q):
+                for j in index.value.probes(q, sizes.value, floor):
                     first, n = shards.value.get(j, (0, 0))
                     for k in range(first, first + n):
                         own.setdefault(k, []).append(j)
@@ -202,17 +211,23 @@ def scored(q: np.ndarray, qid: np.ndarray, x: np.ndarray, vid: np.ndarray, k: in
     s[qid[:, None] == vid] = -np.inf
     # products near the k-th stay until they are summed in the fixed order
     slack = 1e-9 * max(1e-300, float(np.abs(q).max() * np.abs(x).max())) * q.shape[1]
-    least = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(s), -np.inf)
+    # the k-th of different ids: rows of one id count once
+    order = np.argsort(vid, kind="stable")
+    start = np.flatnonzero(np.concatenate([[True], vid[order][1:] != vid[order][:-1]]))
+    top = s if len(start) == len(vid) else np.maximum.reduceat(s[:, order], start, axis=1)
+    least = np.partition(top, -k, axis=1)[:, -k] if top.shape[1] > k else np.full(len(s), -np.inf)
     i, j = np.nonzero((s >= least[:, None] - slack) & (s > -np.inf))
     return best(i, j, np.einsum("ij,ij->i", q[i], x[j]), vid, k)
 
 
 def best(i: np.ndarray, j: np.ndarray, s: np.ndarray, vid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((vid[j], -s, i))
+    # the largest product of each id: copies in several lists, and rows that share an id
+    order = np.lexsort((-s, vid[j], i))
     i, j, s = i[order], j[order], s[order]
-    # a vector of several lists stands beside its copy
     new = np.concatenate([[True], (i[1:] != i[:-1]) | (vid[j][1:] != vid[j][:-1])]) if len(i) else np.zeros(0, bool)
     i, j, s = i[new], j[new], s[new]
+    order = np.lexsort((vid[j], -s, i))
+    i, j, s = i[order], j[order], s[order]
     keep = np.arange(len(i)) - np.searchsorted(i, i) < k
     return i[keep], j[keep], s[keep]
 
@@ -254,7 +269,8 @@ def nearest(df: DataFrame, k: int = 20, vec_id: str = "vec_id", embedding: str =
 
     Null ids and vectors, zero vectors, vectors with null or non-finite components and those not of the most frequent length
     take no part. Ties go to the smaller id. Rows with one id are one candidate (that with the larger product); rows with the
-    query's id are its own. Fewer than k candidates in the probed lists: fewer rows; an empty table gives none.
+    query's id are its own. Fewer rows only where all candidates are fewer than k: a query whose probed lists have fewer different
+    ids (rows of one id) is compared with all rows. An empty table gives none.
     """
     spark = df.sparkSession
     own = usable(df, vec_id, embedding)
@@ -268,18 +284,37 @@ def nearest(df: DataFrame, k: int = 20, vec_id: str = "vec_id", embedding: str =
     is_query = F.pmod("vec_id", F.lit(every)) == 0
     rows = written(own.mapInArrow(listed(index), "vec_id long, e array<double>, lists array<int>").select("vec_id", "e", F.explode("lists").alias("list")))
     counts = rows.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()  # MAX_LISTS at most
-    place = sharded({r.list: r.n for r in counts})
+    held = {r.list: r.n for r in counts}
+    place = sharded(held)
     shards = spark.sparkContext.broadcast(place)
-    queries = written(own.where(is_query).mapInArrow(probing(index, shards), "shard int, vec_id long, e array<double>, lists array<int>"))
+    queries = written(own.where(is_query).mapInArrow(probing(index, shards, spark.sparkContext.broadcast(held), COPIES * (k + 1)), "shard int, vec_id long, e array<double>, lists array<int>"))
 
     where = F.broadcast(spark.createDataFrame([(j, a, n) for j, (a, n) in place.items()], "list int, first int, shards int"))
-    blocks = queries.groupBy("shard").agg(F.greatest(F.ceil(F.count(F.lit(1)) / QUERY_ROWS), F.lit(1)).cast("int").alias("blocks"))
     spread = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
-    dealt = rows.join(where, "list").withColumn("shard", F.col("first") + spread("shards")).join(blocks, "shard")
+    dealt = rows.join(where, "list").withColumn("shard", F.col("first") + spread("shards"))
+    one = written(products(queries, dealt, k))
+
+    # a row stands in COPIES lists at most, so only rows that share an id can leave a query short
+    most = min(k, own.select("vec_id").distinct().count() - 1)
+    got = one.groupBy("query_id").agg(F.count(F.lit(1)).alias("got"))
+    asking = own.where(is_query)
+    short = written(asking.join(got, F.col("vec_id") == F.col("query_id"), "left").where(F.coalesce("got", F.lit(0)) < most).select("vec_id", "e"))
+    if short.limit(1).count():
+        n = -(-sizes.rows // SHARD_ROWS)
+        again = short.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"), "vec_id", "e", F.array(F.lit(0)).alias("lists"))
+        whole = own.select(F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int").alias("shard"), F.lit(0).alias("list"), "vec_id", "e")
+        one = one.unionByName(products(again, whole, k)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    by = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    return one.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def products(queries: DataFrame, dealt: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id and score of each query's k best in each shard, from queries (shard, vec_id, e, lists) and rows (shard, list, vec_id, e)."""
+    spread = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    blocks = queries.groupBy("shard").agg(F.greatest(F.ceil(F.count(F.lit(1)) / QUERY_ROWS), F.lit(1)).cast("int").alias("blocks"))
+    dealt = dealt.join(blocks, "shard")
     dealt = dealt.select("shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "list", "vec_id", "e")
     asked = queries.join(blocks, "shard").select("shard", spread("blocks").alias("block"), "vec_id", "e", "lists")
     pairs = asked.groupBy("shard", "block").cogroup(dealt.groupBy("shard", "block"))
     found = pairs.applyInArrow(best_of(k), "query_id long, vec_id long, score double")
-    one = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    by = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return one.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
