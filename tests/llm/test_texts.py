@@ -135,6 +135,16 @@ def test_images_are_lossless(n):
     assert b"".join(t.tobytes() for t in images) == p
 
 
+def test_feature_covers_every_image():
+    r = np.random.default_rng(3)
+    one = r.integers(32, 127, jpeg.MAX_ROWS * jpeg.UNIT + 192 * 40, dtype=np.uint8)
+    two = one.copy()
+    two[jpeg.MAX_ROWS * jpeg.UNIT :] = two[: jpeg.MAX_ROWS * jpeg.UNIT - 1 : -1]
+    a, b = (jpeg.features(jpeg.write_media(x.tobytes())) for x in (one, two))
+    assert a[0] == b[0] == len(one)
+    assert a[5] != b[5] and a[5].startswith("2:1536x65528:") and ":1536x320:" in a[5]
+
+
 def coded(blocks, components, restart=0, size=(16, 16)):
     """A small baseline file with ordinary Huffman tables, AC coefficients and restarts, written bit by bit."""
     import struct

@@ -279,7 +279,7 @@ def features(media: bytes) -> tuple:
     thumbnails = read_media(media)
     payload = b"".join(t.tobytes() for t in thumbnails)
     first = thumbnails[0]
-    said = f"{len(thumbnails)}:{first.shape[1] * 8}x{first.shape[0] * 8}:{thumbnail_hash(first)}"
+    said = ":".join([str(len(thumbnails)), *(f"{t.shape[1] * 8}x{t.shape[0] * 8}:{thumbnail_hash(t)}" for t in thumbnails)])
     return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), said, first.shape[1] * 8, first.shape[0] * 8
 
 
@@ -288,7 +288,8 @@ def media_features(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     The media bytes stay in the task that made them; with_media() keeps them as a column. Null text is empty and gives the
     192-byte payload of spaces. A null id stays null; repeated rows each give a row; an empty table gives none; other
-    columns are not read. A text too large for one image gives several, joined.
+    columns are not read. A text too large for one image gives several, joined: ``feature`` has the dimensions and the hash of
+    each, ``width`` and ``height`` are those of the first.
     """
     kind = df.schema[doc_id].dataType.simpleString()
 
