@@ -317,6 +317,21 @@ def test_repeats(spark, group_rows):
     assert sorted(map(tuple, got)) == sorted(plain_removal([(i, i, t) for i, t in rows]).values())
 
 
+def test_repeats_of_one_very_common_gram(spark, monkeypatch):
+    """Hundreds of classes of one gram over several buckets: a line between other words, and near copies with an edit anywhere."""
+    monkeypatch.setattr(suffix_dedup, "BUCKET_ROWS", 40)
+    r = random.Random(5)
+    some = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    line, passage = some(70), some(260)
+    rows = []
+    for i in range(500):
+        a = r.randrange(len(passage))
+        edited = passage[:a] + r.choice("xyz") + passage[a + r.randint(0, 1) :]
+        rows.append((i, some(r.randint(0, 40)) + (line if i % 2 else edited) + some(r.randint(0, 40))))
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), group_rows=8).collect()
+    assert sorted(map(tuple, got)) == sorted(plain_removal([(i, i, t) for i, t in rows]).values())
+
+
 def test_repeats_edges(spark, odd_docs, odd_rows, no_docs):
     got = sorted((tuple(x) for x in suffix_dedup.remove_repeats(odd_docs).collect()), key=repr)
     hashes = {t: h for t, h in odd_docs.select("text", F.xxhash64(F.coalesce("text", F.lit("")))).collect()}

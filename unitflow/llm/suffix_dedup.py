@@ -5,16 +5,20 @@ have their anchor at the same offset, and the windows of a document fall into ru
 its run: a suffix that begins with the gram, and the bytes to the left that the run covers. About one position in forty is
 an anchor.
 
-First pass. Anchors are range-partitioned by their gram's key, whose leading bits are the gram's leading bytes, at sampled
-splitters; each bucket is sorted. Anchors of one gram with equal run bytes are a class: all but the first (by document, then
-place) have their whole run earlier in the corpus. Those that are not first among the rows of their own task are known
-there and are not compared again, so a very common passage sends one row a task. The first of each class goes on where its
-gram has several classes.
-
-Second pass. These suffixes, now with their bytes, are range-partitioned in the same way and sorted by a multikey quicksort
-over 8-byte words. Within a gram, each pair of an earlier and a later suffix with L common bytes to the left and R from the
-gram on, L + R >= 100, covers the later one's [-L, R). A gram with more than ``group_rows`` classes is not compared in one
-task: its windows go by their hash to a partial minimum, which finds each window's first place over all buckets.
+First pass. Anchors are range-partitioned by (gram key, class) at sampled splitters; a gram key's leading bits are the gram's
+leading bytes, a class is a hash of the run's bytes and extent. Each bucket is sorted. All of a class but the first (by
+document, then place) have their whole run earlier in the corpus. Those that are not first among the rows of their own task
+are known there, so a very common passage sends one row a task. The first of each class goes on where its gram has several
+classes, or may have others beyond a bucket's boundary.
+
+Refining. These suffixes, now with their bytes, are range-partitioned in the same way. A group (a gram's suffixes) that lies
+within one bucket and has at most ``group_rows`` rows is sorted by a multikey quicksort over 8-byte words; common prefixes of
+neighbours give those of all pairs as running minima, and each pair of an earlier and a later suffix with L common bytes to
+the left and R from the gram on, L + R >= 100, covers the later one's [-L, R). A larger group, or one that a bucket boundary
+cuts, is refined instead: windows begin 0 to 76 bytes left of the gram; the windows of each half of that range share a longer
+string, so each suffix goes to two groups of longer keys, with the bytes that matter there, and suffixes equal in these are
+one again. After seven halvings a key is a whole window. So no group is compared as a whole in one task, and a suffix
+makes at most two rows a round, most of which are alone in their group and go.
 
 Last pass: documents meet their covered spans, once.
 """
@@ -29,16 +33,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted, small_batches, written
+from .common import forget, hash_sample, quoted, small_batches, written
 
 LENGTH, GRAM = 100, 24
 RUN = LENGTH - GRAM + 1
-GROUP_ROWS, SAMPLE_ROWS, SLICE = 64, 1500, 1_000_000
-#: Bits of an anchor's class word that hold its offset in the run and the run's length.
+GROUP_ROWS, SAMPLE_ROWS, SLICE, BUCKET_ROWS = 64, 1500, 1_000_000, 4000
+#: Bits below an anchor's place that hold its offset in the run and, LOW bits each, the run's windows less one.
 LOW = 7
+REFINED = "d long, th long, a long, end long, k long, x long, lo int, hi int, off int, data binary"
 _random = np.random.default_rng(20240229)
 CODE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ODD = _random.integers(0, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,10 +108,14 @@ class Places:
         end = self.first + self.count - 1 + LENGTH
         self.run = stirred(stirred((total[end] - total[self.first]) * down[self.first]) * ODD[6])
 
-    def word(self) -> np.ndarray:
-        """The class within a gram: run hash, offset of the anchor in the run, length of the run."""
-        low = (self.at - self.first).astype(np.uint64) << np.uint64(LOW) | (self.count - 1).astype(np.uint64)
-        return (self.run & ~np.uint64((1 << 2 * LOW) - 1)) | low
+    def classes(self) -> np.ndarray:
+        """The class within a gram: a hash of the run's bytes, the offset of the anchor in it, and its extent."""
+        low = (self.at - self.first) << LOW | (self.count - 1)
+        return stirred((self.run + low.astype(np.uint64) * ODD[3]) * ODD[2])
+
+    def packed(self, places: np.ndarray) -> np.ndarray:
+        """Places with offset and extent below."""
+        return places << 2 * LOW | (self.at - self.first) << LOW | (self.count - 1)
 
 
 def key_of(b: np.ndarray, at: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -114,10 +124,10 @@ def key_of(b: np.ndarray, at: np.ndarray, h: np.ndarray) -> np.ndarray:
     return lead << np.uint64(40) | h >> np.uint64(24)
 
 
-def offsets(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    word = word.view(np.uint64)
-    mask = np.uint64((1 << LOW) - 1)
-    return (word >> np.uint64(LOW) & mask).astype(np.int64), (word & mask).astype(np.int64) + 1
+def unpacked(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, offset of the anchor in its run, windows of the run)"""
+    mask = (1 << LOW) - 1
+    return a >> 2 * LOW, a >> LOW & mask, (a & mask) + 1
 
 
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,11 +156,30 @@ def joined(batch: pa.RecordBatch, col: int, a: int, b: int) -> tuple[np.ndarray,
     return np.frombuffer(b"".join(texts), np.uint8), ends
 
 
-def bucket_of(key: np.ndarray, splitters: np.ndarray) -> np.ndarray:
-    return np.searchsorted(splitters, key, side="right").astype(np.int32)
+class Splitters:
+    """Sampled (key, class) pairs that cut the sorted rows into buckets; they balance the buckets and decide nothing else."""
+
+    def __init__(self, key: np.ndarray, sub: np.ndarray, buckets: int):
+        pairs = np.unique(np.stack([key, sub], 1), axis=0) if len(key) else np.zeros((0, 2), np.uint64)
+        if len(pairs) > buckets:
+            pairs = pairs[np.linspace(0, len(pairs) - 1, buckets + 1).astype(int)[1:-1]]
+        self.key, self.sub = np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
+        self.cut = np.unique(self.key)
 
+    def bucket(self, key: np.ndarray, sub: np.ndarray) -> np.ndarray:
+        out = np.searchsorted(self.key, key, side="left")
+        for i in np.flatnonzero(self.divided(key)).tolist():
+            end = np.searchsorted(self.key, key[i], side="right")
+            out[i] += np.searchsorted(self.sub[out[i] : end], sub[i], side="right")
+        return out.astype(np.int32)
 
-def anchor_rows(splitters: np.ndarray):
+    def divided(self, key: np.ndarray) -> np.ndarray:
+        """Whether rows of the key may stand in several buckets."""
+        at = np.minimum(np.searchsorted(self.cut, key), max(0, len(self.cut) - 1))
+        return self.cut[at] == key if len(self.cut) else np.zeros(len(key), bool)
+
+
+def anchor_rows(splitters: Splitters):
     """(d, th, t) to rows: anchors that are first among their slice, and merged spans of the others (g null: a to c)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +191,7 @@ def anchor_rows(splitters: np.ndarray):
                 if not len(p.at):
                     continue
                 own_d, own_th = d[a:b][p.doc], th[a:b][p.doc]
-                place, word = p.at - ends[p.doc], p.word()
+                place, word = p.packed(p.at - ends[p.doc]), p.classes()
                 order = np.lexsort((place, own_th, own_d, word, p.gram))
                 same = np.concatenate([[False], (p.gram[order][1:] == p.gram[order][:-1]) & (word[order][1:] == word[order][:-1])])
                 # equal rows of one document are the same place, so neither is later
@@ -170,7 +199,7 @@ def anchor_rows(splitters: np.ndarray):
                 tied = (own_d[order] == own_d[order][first]) & (own_th[order] == own_th[order][first]) & (place[order] == place[order][first])
                 later = order[same & ~tied]
                 rest = order[~same | tied]
-                yield rows_of(bucket_of(p.gram[rest], splitters), p.gram[rest].view(np.int64), word[rest].view(np.int64), own_d[rest], own_th[rest], place[rest], None)
+                yield rows_of(splitters.bucket(p.gram[rest], word[rest]), p.gram[rest].view(np.int64), word[rest].view(np.int64), own_d[rest], own_th[rest], place[rest], None)
                 if len(later):
                     s, e = merged(p.first[later], p.first[later] + p.count[later] - 1 + LENGTH)
                     # merged spans may touch across documents: cut there
@@ -178,7 +207,7 @@ def anchor_rows(splitters: np.ndarray):
                     while len(over := np.flatnonzero(e > ends[doc + 1])):
                         s, e = np.append(s, ends[doc + 1][over]), np.append(np.where(e > ends[doc + 1], ends[doc + 1], e), e[over])
                         doc = np.searchsorted(ends, s, side="right") - 1
-                    yield rows_of((d[a:b][doc] % max(1, len(splitters))).astype(np.int32), np.zeros(len(s), np.int64), e - ends[doc], d[a:b][doc], th[a:b][doc], s - ends[doc], np.ones(len(s), bool))
+                    yield rows_of((d[a:b][doc] % (len(splitters.key) + 1)).astype(np.int32), np.zeros(len(s), np.int64), e - ends[doc], d[a:b][doc], th[a:b][doc], s - ends[doc], np.ones(len(s), bool))
 
     return run
 
@@ -187,59 +216,48 @@ def rows_of(bucket, g, c, d, th, a, null) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(g, mask=null), pa.array(c), pa.array(d), pa.array(th), pa.array(a)], ["bucket", "g", "c", "d", "th", "a"])
 
 
-def class_firsts(group_rows: int):
-    """Rows sorted by (g, c, d, th, a) to spans of later members (g null) and to firsts of classes whose gram has several.
+def class_firsts(splitters: Splitters):
+    """Rows sorted by (g, c, d, th, a) to spans of later members (g null: a to c) and to firsts of classes (g, c, d, th, a) whose gram has several, or is divided.
 
-    Only the last gram's firsts are kept from one batch to the next, group_rows of them at most.
+    Only the open class's first row is kept from one batch to the next.
     """
+    names = ["g", "c", "d", "th", "a"]
+
+    def spans(c, d, th, a) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.nulls(len(d), pa.int64()), *map(pa.array, (c, d, th, a))], names)
 
-    def marks(d, th, start, end, g=None, hot=None) -> pa.RecordBatch:
-        n = len(d)
-        return pa.RecordBatch.from_arrays([pa.array(d), pa.array(th), pa.array(start), pa.array(end), pa.array(g) if g is not None else pa.nulls(n, pa.int64()), pa.array(hot) if hot is not None else pa.nulls(n, pa.bool_())], ["d", "th", "start", "end", "g", "hot"])
+    def firsts(x: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x[:, i]) for i in range(5)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: np.ndarray | None = None  # the class that is open: its first row (g, c, d, th, a)
-        held = np.zeros((0, 5), np.int64)  # firsts of the open gram that are not given out yet
-        burst = False  # the open gram has more than group_rows classes
-        for batch in itertools.chain(batches, [None]):
-            if batch is None:
-                if len(held) > 1 or burst:
-                    yield marks(held[:, 2], held[:, 3], held[:, 4], held[:, 1], held[:, 0], np.full(len(held), burst))
-                return
+        last: np.ndarray | None = None  # the open class's first row
+        pending = False  # it is the only class of its gram so far, and is not given out
+        for batch in batches:
             known = batch.column(0).is_null().to_numpy(zero_copy_only=False)
             cols = [batch.column(i).fill_null(0).to_numpy(zero_copy_only=False) for i in range(5)]
             if known.any():
-                yield marks(cols[2][known], cols[3][known], cols[4][known], cols[1][known])
+                yield spans(*(x[known] for x in cols[1:]))
             rows = np.stack([x[~known] for x in cols], 1)
             if not len(rows):
                 continue
             rows = rows if last is None else np.concatenate([last[None], rows])
-            new = np.concatenate([[last is None], (rows[1:, :2] != rows[:-1, :2]).any(1)])
-            head = new.copy()
-            head[0] = True
-            first = rows[np.flatnonzero(head)[np.cumsum(head) - 1]]
-            later = ~head & (rows[:, 2:] != first[:, 2:]).any(1)
+            head = np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)])
+            place = np.flatnonzero(head)[np.cumsum(head) - 1]
+            later = ~head & (rows[:, 2:] != rows[place][:, 2:]).any(1)
             if later.any():
-                off, n = offsets(rows[later, 1])
-                s = rows[later, 4] - off
-                yield marks(rows[later, 2], rows[later, 3], s, s + n - 1 + LENGTH)
-            last = first[-1]
-            firsts = np.concatenate([held, rows[new]])
-            if not len(firsts):
-                continue
-            edge = np.flatnonzero(np.concatenate([[True], firsts[1:, 0] != firsts[:-1, 0]]))
-            size = np.diff(np.append(edge, len(firsts)))
-            hot = size > group_rows
-            if burst and (firsts[0, 0] == last_gram):
-                hot[0] = True
-            ended = np.ones(len(edge), bool)
-            ended[-1] = False  # the last gram may go on
-            out = np.repeat((ended & ((size > 1) | hot)) | hot, size)
-            if out.any():
-                x = firsts[out]
-                yield marks(x[:, 2], x[:, 3], x[:, 4], x[:, 1], x[:, 0], np.repeat(hot, size)[out])
-            burst, last_gram = bool(hot[-1]), firsts[-1, 0]
-            held = firsts[:0] if burst else firsts[edge[-1] :]
+                at, off, n = unpacked(rows[later, 4])
+                yield spans(at - off + n - 1 + LENGTH, rows[later, 2], rows[later, 3], at - off)
+            own = rows[head]
+            edge = np.concatenate([[True], own[1:, 0] != own[:-1, 0]])
+            several = np.diff(np.append(np.flatnonzero(edge), len(own))) > 1
+            give = several[np.cumsum(edge) - 1] | splitters.divided(np.ascontiguousarray(own[:, 0]).view(np.uint64))
+            if last is not None and not pending:  # the gram that is open has several classes, and its last one is out
+                give |= own[:, 0] == last[0]
+                give[0] = False
+            if give.any():
+                yield firsts(own[give])
+            pending = not give[-1] and (len(own) > 1 or last is None or pending)
+            last = own[-1]
 
     return run
 
@@ -278,24 +296,27 @@ def compared(g, d, th, a, off, data: list[bytes]) -> tuple[np.ndarray, np.ndarra
     grid[row, col], inside[row, col] = flat[: len(row)], True
     words = np.zeros((n, 13), ">u8")
     words.view(np.uint8)[:, :LENGTH] = grid[:, left:]
-    # suffix order inside each gram; equal beginnings stand together, as the pairs below want them
+    # suffix order inside each group; the common prefix of two suffixes is the least of those of neighbours between them
     order = multikey_order(np.concatenate([g.view(np.uint64)[:, None], words.astype(np.uint64)], 1))
+    ended = (grid[order[:-1], left:] != grid[order[1:], left:]) | ~inside[order[:-1], left:] | ~inside[order[1:], left:]
+    next_to = np.where(ended.any(1), ended.argmax(1), LENGTH)
     found = []
-    lag, live = 1, np.arange(n - 1)
+    lag, live, right = 1, np.arange(n - 1), next_to
     while len(live):
-        live = live[live + lag < n]
-        live = live[g[order[live]] == g[order[live + lag]]]
+        keep = live + lag < n
+        live, right = live[keep], right[keep]
+        right = np.minimum(right, next_to[live + lag - 1])
+        keep = (g[order[live]] == g[order[live + lag]]) & (right >= GRAM)
+        live, right = live[keep], right[keep]
         for at in range(0, len(live), 20_000):
-            x, y = order[live[at : at + 20_000]], order[live[at : at + 20_000] + lag]
+            x, y, r = order[live[at : at + 20_000]], order[live[at : at + 20_000] + lag], right[at : at + 20_000]
             swap = (d[x] > d[y]) | ((d[x] == d[y]) & ((th[x] > th[y]) | ((th[x] == th[y]) & (a[x] > a[y]))))
             x, y = np.where(swap, y, x), np.where(swap, x, y)
-            differ = (grid[x] != grid[y]) | ~inside[x] | ~inside[y]
-            r, l = differ[:, left:], differ[:, :left][:, ::-1]
-            right = np.where(r.any(1), r.argmax(1), LENGTH)
+            l = ((grid[x, :left] != grid[y, :left]) | ~inside[x, :left] | ~inside[y, :left])[:, ::-1]
             back = np.where(l.any(1), l.argmax(1), left)
-            hit = (right + back >= LENGTH) & ~((d[x] == d[y]) & (th[x] == th[y]) & (a[x] == a[y]))
+            hit = (r + back >= LENGTH) & ~((d[x] == d[y]) & (th[x] == th[y]) & (a[x] == a[y]))
             y = y[hit]
-            found.append((d[y], th[y], a[y] - back[hit], a[y] + right[hit]))
+            found.append((d[y], th[y], a[y] - back[hit], a[y] + r[hit]))
         lag += 1
     if not found:
         none = np.zeros(0, np.int64)
@@ -303,25 +324,105 @@ def compared(g, d, th, a, off, data: list[bytes]) -> tuple[np.ndarray, np.ndarra
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def compare_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (g, d, th, a, off, data) sorted by g to spans; a gram has few rows, so the last one is kept for the next batch."""
-    kept: pa.Table | None = None
-    for batch in itertools.chain(batches, [None]):
-        if batch is not None:
-            now = pa.Table.from_batches([batch])
-            now = now if kept is None else pa.concat_tables([kept, now]).combine_chunks()
-            g = now.column(0).to_numpy()
-            cut = int(np.searchsorted(g, g[-1])) if len(g) else 0
-            now, kept = now.slice(0, cut), now.slice(cut)
-        else:
-            now, kept = kept, None
-        if now is None or not now.num_rows:
-            continue
-        g = now.column(0).to_numpy()
-        for a, b in group_slices(g, 4000):
-            part = now.slice(a, b - a)
-            made = compared(*(part.column(i).to_numpy() for i in range(5)), part.column(5).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], ["d", "th", "start", "end"])
+def halves(lo: int, hi: int, off: int, data: bytes) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """(key, lo, hi, off, data) of a suffix in the two halves of its group's window offsets, where it has windows."""
+    least, mid = off + LENGTH - len(data), (lo + hi) // 2
+    for a, b in ((lo, mid), (mid + 1, hi)):
+        first, last = max(least, a), min(off, b)
+        if first <= last:
+            # the bytes that all windows of the group share
+            key = xxhash.xxh64_intdigest(data[off - a : off + LENGTH - b], (a << LOW) + b)
+            yield key - (1 << 63), a, b, last, data[off - last : off + LENGTH - first]
+
+
+def merge_halves(rows: Iterator[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """(spans, suffixes) of rows (d, th, a, lo, hi, off, data) halved; of suffixes equal in group and bytes the first stays."""
+    first: dict[tuple, tuple] = {}
+    spans = []
+    for d, th, a, lo, hi, off, data in rows:
+        for piece in halves(lo, hi, off, data):
+            own, old = (d, th, a), first.setdefault(piece, (d, th, a))
+            if old != own:
+                if own < old:
+                    first[piece], own = own, old
+                spans.append((*own[:2], own[2] - piece[3], own[2] - piece[3] + len(piece[4])))
+    return spans, [(*own, *piece) for piece, own in first.items()]
+
+
+def refined(spans: list[tuple], rows: list[tuple]) -> pa.RecordBatch:
+    """One batch of spans (d, th, a, end) and suffixes (d, th, a, key, lo, hi, off, data)."""
+    n = len(spans)
+    whole = [*[(*x, *[None] * 6) for x in spans], *[(d, th, a, None, k, xxhash.xxh64_intdigest(data, off) - (1 << 63), lo, hi, off, data) for d, th, a, k, lo, hi, off, data in rows]]
+    kinds = [pa.int64()] * 6 + [pa.int32()] * 3 + [pa.binary()]
+    cols = list(zip(*whole, strict=True)) if n + len(rows) else [()] * 10
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds, strict=True)], [x.split()[0] for x in REFINED.split(", ")])
+
+
+def dealt(splitters: Splitters):
+    """Suffixes with their bucket first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k, x = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(splitters.bucket(k, x)), *batch.columns], ["bucket", *batch.schema.names])
+
+    return run
+
+
+def refine(splitters: Splitters, group_rows: int):
+    """Suffixes (k, x, lo, hi, d, th, a, off, data) sorted by (k, x, d, th, a) to spans and to the suffixes of groups that are large or divided, halved.
+
+    A group of at most ``group_rows`` suffixes is kept from one batch to the next; of a larger one only the last suffix is.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.Table | None = None
+        large: int | None = None  # the key of a group that is being halved; the row kept of it is done with
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                now = pa.Table.from_batches([batch])
+                now = now if kept is None else pa.concat_tables([kept, now])
+            else:
+                now = kept
+            if now is None or not now.num_rows:
+                continue
+            now = now.combine_chunks()
+            k, x, d, th, a, off = (now[c].to_numpy() for c in ("k", "x", "d", "th", "a", "off"))
+            data = now["data"].to_pylist()
+            head = np.concatenate([[True], (k[1:] != k[:-1]) | (x[1:] != x[:-1])])
+            place = np.flatnonzero(head)[np.cumsum(head) - 1]
+            spans = []
+            for i in np.flatnonzero(~head).tolist():  # equal bytes: all but the first are later
+                j = int(place[i])
+                if data[i] != data[j] or off[i] != off[j]:
+                    head[i] = True  # only the hashes are equal
+                elif (d[i], th[i], a[i]) != (d[j], th[j], a[j]):
+                    spans.append((d[i], th[i], a[i] - off[i], a[i] - off[i] + len(data[i])))
+            own = np.flatnonzero(head)
+            key = k[own]
+            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            size = np.diff(np.append(start, len(own)))
+            wide = (size > group_rows) | splitters.divided(np.ascontiguousarray(key[start]).view(np.uint64)) | (key[start] == large if large is not None else False)
+            lo, hi = now["lo"].to_numpy(), now["hi"].to_numpy()
+            out = np.repeat(wide, size) & (lo[own] < hi[own])
+            if large is not None and key[0] == large:
+                out[0] = False
+            more, rows = merge_halves((int(d[i]), int(th[i]), int(a[i]), int(lo[i]), int(hi[i]), int(off[i]), data[i]) for i in own[out].tolist())
+            yield refined(spans + more, rows)
+            small = np.repeat(~wide & (size > 1), size)
+            if batch is not None:  # the last group may go on
+                last = own[start[-1] :]
+                small[start[-1] :] = False
+                large = int(key[-1]) if wide[-1] else None
+                kept = now.take(pa.array(last[-1:] if wide[-1] else last))
+            at = own[small]
+            for s, e in group_slices(k[at], BUCKET_ROWS):
+                i = at[s:e]
+                made = compared(k[i], d[i], th[i], a[i], off[i].astype(np.int64), [data[j] for j in i.tolist()])
+                if len(made[0]):
+                    yield refined(list(zip(*(m.tolist() for m in made), strict=True)), [])
+
+    return run
 
 
 def group_slices(g: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
@@ -334,52 +435,40 @@ def group_slices(g: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
         at = stop
 
 
-def run_bytes(splitters: np.ndarray):
-    """(d, th, t, reps) to one row a rep with the bytes of its run."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for d, th, t, reps in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                for r in reps or ():
-                    word = r["c"] % (1 << 64)
-                    off, n = word >> LOW & ((1 << LOW) - 1), (word & ((1 << LOW) - 1)) + 1
-                    s = r["a"] - off
-                    for k, v in enumerate((r["g"], d, th, r["a"], off, t[s : s + n - 1 + LENGTH])):
-                        out[k].append(v)
-            g = np.array(out[0], np.int64)
-            cols = [pa.array(bucket_of(g.view(np.uint64), splitters)), pa.array(g), *(pa.array(x, pa.int64()) for x in out[1:5]), pa.array(out[5], pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, ["bucket", "g", "d", "th", "a", "off", "data"])
-
-    return run
-
-
-def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(d, th, t, reps) to one row a window of each rep, with the window's hash (128 bits)."""
+def run_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(d, th, t, reps) to one suffix a rep with the bytes of its run."""
     for batch in batches:
+        out: list[list] = [[], [], [], [], [], [], []]
         for d, th, t, reps in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            if not reps:
-                continue
-            starts = []
-            for r in reps:
-                off, n = offsets(np.array([r["c"]], np.int64))
-                starts.append(np.arange(r["a"] - off[0], r["a"] - off[0] + n[0]))
-            s = np.concatenate(starts)
-            w = [hashlib.blake2b(t[i : i + LENGTH], digest_size=16).digest() for i in s.tolist()]
-            h = np.frombuffer(b"".join(w), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(np.full(len(s), d, np.int64)), pa.array(np.full(len(s), th, np.int64)), pa.array(s)], ["w1", "w2", "d", "th", "start"])
-
-
-def sampled_splitters(docs: DataFrame, buckets: int) -> np.ndarray:
-    """Keys at even ranks among the anchors of some texts; they balance the buckets and decide nothing else."""
+            for r in reps or ():
+                at, off, n = unpacked(r["a"])
+                for k, v in enumerate((r["g"], r["c"], d, th, at, off, t[at - off : at - off + n - 1 + LENGTH])):
+                    out[k].append(v)
+        n = len(out[0])
+        cols = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array([0] * n, pa.int32()), pa.array([RUN - 1] * n, pa.int32()), *(pa.array(x, pa.int64()) for x in out[2:5]), pa.array(out[5], pa.int32()), pa.array(out[6], pa.binary())]
+        yield pa.RecordBatch.from_arrays(cols, ["k", "x", "lo", "hi", "d", "th", "a", "off", "data"])
+
+
+def sampled_splitters(docs: DataFrame, buckets: int) -> Splitters:
+    """From the anchors of some texts."""
     total = docs.count()
+    none = np.zeros(0, np.uint64)
     if not total:
-        return np.zeros(0, np.uint64)
+        return Splitters(none, none, 1)
     some = docs.sample(min(1.0, 1.5 * SAMPLE_ROWS / total), 7).select(F.substring("t", 1, 20_000)).limit(SAMPLE_ROWS).collect()
     data = b"".join(bytes(r[0]) for r in some)
     ends = np.concatenate([[0], np.cumsum([len(r[0]) for r in some], dtype=np.int64)]).astype(np.int64)
-    keys = np.unique(Places(np.frombuffer(data, np.uint8), ends).gram)
-    return keys[np.linspace(0, len(keys) - 1, buckets + 1).astype(int)[1:-1]] if len(keys) > buckets else keys
+    p = Places(np.frombuffer(data, np.uint8), ends)
+    return Splitters(p.gram, p.classes(), buckets) if len(p.at) else Splitters(none, none, 1)
+
+
+def suffix_splitters(rows: DataFrame, total: int, most: int) -> Splitters:
+    """From a sample of suffixes (k, x), for buckets of about BUCKET_ROWS rows, ``most`` at most."""
+    buckets = max(1, min(most, total // BUCKET_ROWS))
+    some = hash_sample(rows.select("k", "x"), "x", 40 * buckets, total).toArrow() if buckets > 1 else None
+    if not some or not some.num_rows:
+        return Splitters(np.zeros(0, np.uint64), np.zeros(0, np.uint64), 1)
+    return Splitters(*(some[c].to_numpy().view(np.uint64) for c in ("k", "x")), buckets)
 
 
 def tidy(spark: SparkSession) -> None:
@@ -388,43 +477,38 @@ def tidy(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def spans_of(docs: DataFrame, group_rows: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Covered spans (d, th, start, end) of ``docs`` (d, th, t), and the written tables to forget afterwards."""
+def spans_of(docs: DataFrame, group_rows: int) -> DataFrame:
+    """Covered spans (d, th, start, end) of ``docs`` (d, th, t), written."""
     spark = docs.sparkSession
     small_batches(spark)
     n = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     splitters = sampled_splitters(docs, 4 * n)
     anchors = docs.mapInArrow(anchor_rows(splitters), "bucket int, g long, c long, d long, th long, a long")
-    dealt = anchors.repartition("bucket").sortWithinPartitions("g", "c", "d", "th", "a").drop("bucket")
-    marks = written(dealt.mapInArrow(class_firsts(group_rows), "d long, th long, start long, end long, g long, hot boolean"))
-    tidy(spark)
-    spans, used = [marks.where("g is null").select("d", "th", "start", "end")], [marks]
-    rep = F.struct("g", F.col("end").alias("c"), F.col("start").alias("a"))
-
-    def with_reps(which: DataFrame) -> DataFrame:
-        lists = which.groupBy("d", "th").agg(F.collect_list(rep).alias("reps"))
-        return docs.join(lists.hint("shuffle_hash"), ["d", "th"]).select("d", "th", "t", "reps")
-
-    cold, hot = marks.where("g is not null and not hot"), marks.where("hot")
-    suffixes = with_reps(cold).mapInArrow(run_bytes(splitters), "bucket int, g long, d long, th long, a long, off long, data binary")
-    sorted_by = suffixes.repartition("bucket").drop("bucket").sortWithinPartitions("g")
-    more = written(sorted_by.mapInArrow(compare_rows, "d long, th long, start long, end long"))
+    by_class = anchors.repartition("bucket").sortWithinPartitions("g", "c", "d", "th", "a").drop("bucket")
+    marks = written(by_class.mapInArrow(class_firsts(splitters), "g long, c long, d long, th long, a long"))
     tidy(spark)
-    spans.append(more)
-    used.append(more)
-    if hot.limit(1).count():
-        windows = written(with_reps(hot).mapInArrow(window_rows, "w1 long, w2 long, d long, th long, start long").distinct())
-        first = windows.groupBy("w1", "w2").agg(F.min(F.struct("d", "th", "start")).alias("f")).select("f.*")
-        # a window that is a first place cancels out; the others are later ones
-        both = windows.select("d", "th", "start", F.lit(1).alias("n")).unionByName(first.select("d", "th", "start", F.lit(-1).alias("n")))
-        later = written(both.groupBy("d", "th", "start").agg(F.sum("n").alias("n")).where("n > 0").select("d", "th", "start", (F.col("start") + LENGTH).alias("end")))
+    used, spans = [marks], [marks.where("g is null").select("d", "th", F.col("a").alias("start"), F.col("c").alias("end"))]
+    firsts = marks.where("g is not null")
+    lists = firsts.groupBy("d", "th").agg(F.collect_list(F.struct("g", "c", "a")).alias("reps"))
+    suffixes = docs.join(lists.hint("shuffle_hash"), ["d", "th"]).select("d", "th", "t", "reps").mapInArrow(run_bytes, "k long, x long, lo int, hi int, d long, th long, a long, off int, data binary")
+    keys, total = firsts.select(F.col("g").alias("k"), F.col("c").alias("x")), firsts.count()
+    while total:
+        cuts = suffix_splitters(keys, total, 4 * n)
+        by_key = suffixes.mapInArrow(dealt(cuts), "bucket int, k long, x long, lo int, hi int, d long, th long, a long, off int, data binary")
+        by_key = by_key.repartition("bucket").sortWithinPartitions("k", "x", "d", "th", "a").drop("bucket")
+        made = written(by_key.mapInArrow(refine(cuts, group_rows), REFINED))
         tidy(spark)
-        spans.append(later)
-        used += [windows, later]
+        used.append(made)
+        spans.append(made.where("k is null").select("d", "th", F.col("a").alias("start"), "end"))
+        keys = suffixes = made.where("k is not null").select("k", "x", "lo", "hi", "d", "th", "a", "off", "data")
+        total = suffixes.count()
     out = spans[0]
     for s in spans[1:]:
         out = out.unionByName(s)
-    return out, used
+    out = written(out)
+    for x in used:
+        forget(x)
+    return out
 
 
 def keyed(df: DataFrame, doc_id: str, text: str, extra: list[Column]) -> DataFrame:
@@ -437,7 +521,7 @@ def keyed(df: DataFrame, doc_id: str, text: str, extra: list[Column]) -> DataFra
 def with_spans(df: DataFrame, doc_id: str, text: str, extra: list[Column], group_rows: int = GROUP_ROWS) -> DataFrame:
     """d, th, t, ``extra`` and spans (array of start, end: bytes to remove, not merged; null: none) of every row."""
     docs = keyed(df, doc_id, text, extra)
-    spans, _ = spans_of(docs.select("d", "th", "t"), group_rows)
+    spans = spans_of(docs.select("d", "th", "t"), group_rows)
     lists = spans.groupBy("d", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return docs.join(lists.hint("shuffle_hash"), ["d", "th"], "left")
 
