@@ -207,15 +207,20 @@ def test_mixing(odd_docs, odd_rows, no_docs, bucket_rows):
 
 
 def test_mixed_rows(odd_docs):
-    plan = {}
-    for r in curriculum.planned(odd_docs, "doc_id", "text", "source", 1.5, 2.0, 4096).collect():
-        k = (r.doc_id, r.src, r.size)
-        plan[k] = max(plan.get(k, 0), -(-r.taken // r.size) if r.size else 0)
+    want = collections.Counter()
+    for r in curriculum.planned(*[curriculum.sized(odd_docs, "doc_id", "text", "source")] * 2, 1.5, 2.0, 4096).collect():
+        want[r.doc_id, r.src, r.size] += -(-r.taken // r.size) if r.size else 0
     rows = curriculum.mixed_rows(odd_docs)
     assert rows.columns == odd_docs.columns
-    n = collections.Counter((r.doc_id, r.source, words(r.text)) for r in rows.collect())
-    have = collections.Counter((r.doc_id, r.source, words(r.text)) for r in odd_docs.collect())
-    assert n == collections.Counter({k: c * have[k] for k, c in plan.items() if c})
+    assert collections.Counter((r.doc_id, r.source, words(r.text)) for r in rows.collect()) == +want
+
+
+def test_mixed_rows_equal_in_id_source_and_size(spark):
+    """Rows without an id are told apart: no more of them than the target asks for, but for the last."""
+    rows = [(None, f"word{i} b c d", "only") for i in range(40)]
+    got = curriculum.mixed_rows(spark.createDataFrame(rows, "doc_id long, text string, source string"), bucket_rows=8).collect()
+    assert len(got) == 60  # 150 % of 160 words
+    assert max(collections.Counter(r.text for r in got).values()) == 2
 
 
 # --- nearest neighbours ------------------------------------------------------------------------------------------------

@@ -5,7 +5,7 @@ any document. A worker encodes an equal chunk once. Cuts may fall inside a word:
 and after its last white space as loose ends. At a join the loose ends are put together and encoded again, over as many
 chunks as it takes to reach white space on both sides. The vocabulary's pre-tokenisation drops white space and matches
 nothing across it, and ASCII white space neither composes nor reorders under NFC, so the result agrees with encoding the
-whole text exactly. Inside a chunk the words, too, are kept in a bounded cache.
+whole text exactly. Inside a chunk the words, too, are kept in a cache. Both caches are bounded in bytes.
 """
 
 from __future__ import annotations
@@ -22,7 +22,13 @@ from pyspark.sql import DataFrame
 from .common import map_text
 from .token_count import byte_alphabet, encoder
 
-CHUNK_BITS, CHUNK_ENTRIES, WORD_ENTRIES = 9, 8_000, 250_000
+#: Chunks have 2**CHUNK_BITS bytes on average. Longer words and chunks are not kept, and a cache that holds so many bytes begins anew.
+CHUNK_BITS, LONGEST_CHUNK, LONGEST_WORD, CHUNK_BYTES, WORD_BYTES = 9, 8192, 64, 24_000_000, 60_000_000
+#: About what an entry takes besides its bytes.
+ENTRY_BYTES = 200
+#: The normaliser and pre-tokeniser that the rules here hold for.
+NORMALISERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 FACTOR = np.uint32(0x9E3779B1)
 #: Letters whose lower case is one letter in every library and which NFC leaves alone.
 SIMPLE = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
@@ -34,13 +40,29 @@ class Words(dict):
     """A word's UTF-8 (no ASCII white space inside) to (ids as little-endian 32-bit, decoded UTF-8)."""
 
     def __init__(self, coder: Coder):
-        self.coder = coder
+        self.coder, self.bytes = coder, 0
 
     def __missing__(self, word: bytes) -> tuple[bytes, bytes]:
-        made = self[word] = self.coder.encode_word(word)
+        made = self.coder.encode_word(word)
+        if len(word) <= LONGEST_WORD:
+            self[word] = made
+            self.bytes += ENTRY_BYTES + len(word) + len(made[0]) + len(made[1])
         return made
 
 
+def refuse_others(spec: dict) -> None:
+    """Raise unless the file drops white space, lower-cases and splits as this module takes for granted."""
+    steps = (spec.get("normalizer") or {}).get("normalizers") or []
+    replace = next((x for x in steps if x["type"] == "Replace"), {})
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    split = cuts[0] if cuts and cuts[0]["type"] == "Split" else {}
+    fine = [x["type"] for x in steps] == NORMALISERS and replace["pattern"] == {"Regex": r"\s+"} and replace["content"] == " "
+    fine = fine and [x["type"] for x in cuts] == ["Split", "ByteLevel"] and split["pattern"] == {"Regex": SPLIT} and split["behavior"] == "Removed" and split["invert"]
+    fine = fine and not cuts[1]["add_prefix_space"] and not (spec.get("decoder") or any(c.isspace() for x in spec["added_tokens"] for c in x["content"]))
+    if not fine:
+        raise ValueError("a vocabulary without a decoder, whose normaliser lower-cases and whose pre-tokeniser drops white space, is asked for")
+
+
 class Coder:
     """One worker's encoder: the vocabulary, the cache of words and the cache of chunks."""
 
@@ -51,10 +73,9 @@ class Coder:
         model = spec["model"]
         self.marks = {x["content"][:2].lower().encode() for x in spec["added_tokens"]}
         self.names = {v: k.encode() for k, v in self.whole.get_vocab(with_added_tokens=True).items()}
-        if spec.get("decoder") or any(c.isspace() for x in spec["added_tokens"] for c in x["content"]):
-            raise ValueError("a vocabulary without a decoder of its own, whose pre-tokenisation drops white space, is asked for")
+        refuse_others(spec)
         self.fast = self.ranked(model)
-        self.words, self.chunks = Words(self), {}
+        self.words, self.chunks, self.chunk_bytes = Words(self), {}, 0
 
     def ranked(self, model: dict):
         """An encoder for words of simple letters, if the merges are in the order of their ids: a word's last byte stands with the end-of-word suffix, as a byte value of its own."""
@@ -125,8 +146,8 @@ class Coder:
 
     def encode(self, text: bytes) -> tuple[bytes, bytes]:
         """(ids, decoded text) of a whole text."""
-        if len(self.words) > WORD_ENTRIES:
-            self.words.clear()
+        if self.words.bytes > WORD_BYTES:
+            self.words = Words(self)
         text = self.canonical(text)
         ids: list[bytes] = []
         said: list[bytes] = []
@@ -143,11 +164,11 @@ class Coder:
             key = hashlib.blake2b(chunk, digest_size=16).digest() if b - a > 48 else None
             if (made := self.chunks.get(key)) is None:
                 made = self.encode_chunk(chunk)
-                if key:
-                    if len(self.chunks) >= CHUNK_ENTRIES:
-                        self.chunks.clear()
-                    if b - a < 8192:
-                        self.chunks[key] = made
+                if key and b - a <= LONGEST_CHUNK:
+                    if self.chunk_bytes > CHUNK_BYTES:
+                        self.chunks, self.chunk_bytes = {}, 0
+                    self.chunks[key] = made
+                    self.chunk_bytes += ENTRY_BYTES + len(made[0]) + len(made[2]) + (len(made[1][0]) + len(made[1][1]) if made[1] else 0)
             head, body, tail = made
             loose.append(head)
             if body is not None:

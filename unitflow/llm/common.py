@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,8 +87,12 @@ def hash_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name below spark.checkpoint.dir; a temp folder's only if the setting is absent (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    """A new folder name below spark.checkpoint.dir. Where that is unset, a local session uses its own temp folder; a cluster must name a shared one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = f"{tempfile.gettempdir()}/unitflow-checkpoints"
     return f"{base.rstrip('/')}/unitflow-{uuid.uuid4().hex}"
 
 
@@ -108,6 +112,3 @@ def forget(df: DataFrame) -> None:
         if "/unitflow-" in f:
             path = jvm.org.apache.hadoop.fs.Path(f)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-KEEP = StorageLevel.MEMORY_AND_DISK

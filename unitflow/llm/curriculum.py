@@ -7,7 +7,7 @@ most * size / weight.
 
 Schedule. A source's rate at training time t in [0, 1] is its target times (1 + slope * (2t - 1)); slopes fall from
 ``slope`` (first weight class) to -slope (last). Integrated, the cumulative demand is target * (t + slope * (t^2 - t)).
-A source's documents stand in the order of a hash, pass after pass; the word in the middle of a document's first taken
+A source's documents stand in the order of a hash (the first 60 bits of an MD5, so that any SQL engine agrees), pass after pass; the word in the middle of a document's first taken
 pass has a rank u (its share of the target), and inverting the demand gives the document's training position t. Rows are
 range-sorted by position.
 
@@ -20,13 +20,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import quoted
+from .common import quoted, written
 
 #: Weights of sources in turn.
 WEIGHTS = (3, 1, 2)
 SHARE, MOST, SLOPE, BUCKET_ROWS = 1.5, 2.0, 0.5, 4096
 #: A word of a text.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Hexadecimal digits of the MD5 that orders documents.
+DIGITS = 15
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -58,29 +60,37 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     taken 0 and a null position; an empty table gives no rows. Other columns are not read. Reruns agree: the order is that of
     a hash of id and size, then id, then size.
     """
-    out = planned(df, doc_id, text, source, share, most, bucket_rows).drop("src")
+    docs = written(sized(df, doc_id, text, source))
+    out = planned(docs, docs, share, most, bucket_rows).drop("src")
     return out.orderBy(F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last())
 
 
-def planned(df: DataFrame, doc_id: str, text: str, source: str, share: float, most: float, bucket_rows: int) -> DataFrame:
-    """What mix() returns, unsorted, and src."""
+def sized(df: DataFrame, doc_id: str, text: str, source: str, *more) -> DataFrame:
+    """doc_id, src, size, h (the order's hash) and ``more`` columns."""
     size = F.coalesce(F.regexp_count(F.col(quoted(text)), F.lit(WORD)), F.lit(0)).cast("long")
-    docs = df.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(source)).cast("string").alias("src"), size.alias("size"))
-    docs = docs.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.col("size")))
-    sources = docs.groupBy("src").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
-    targets = source_targets(sources, share=share, most=most)
+    docs = df.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(source)).cast("string").alias("src"), size.alias("size"), *more)
+    digest = F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.col("size").cast("string")).cast("binary"))
+    return docs.withColumn("h", F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("long"))
+
+
+def planned(docs: DataFrame, narrow: DataFrame, share: float, most: float, bucket_rows: int) -> DataFrame:
+    """``docs`` (of sized()) with source_size, target, taken and position, unsorted. ``narrow`` has the same rows, without further columns."""
+    sources = narrow.groupBy("src").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
+    t = source_targets(sources, share=share, most=most).withColumnRenamed("src", "tsrc")
 
     same = lambda a, b: a.eqNullSafe(b)
-    t = targets.withColumnRenamed("src", "tsrc")
     buckets = F.greatest(F.ceil(F.col("docs") / bucket_rows), F.lit(1)).cast("long")
     # the hash's order is kept: equal parts of its range
-    bucket = F.floor((F.col("h").cast("double") / F.lit(2.0**64) + 0.5) * buckets).cast("long")
-    j = docs.join(t, same(F.col("src"), F.col("tsrc")), "left").withColumn("bucket", F.least(bucket, buckets - 1)).drop("tsrc")
-    sums = j.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
+    bucket = F.floor(F.col("h").cast("double") / F.lit(16.0**DIGITS) * buckets).cast("long")
+
+    def bucketed(rows: DataFrame) -> DataFrame:
+        return rows.join(t, same(F.col("src"), F.col("tsrc")), "left").withColumn("bucket", F.least(bucket, buckets - 1)).drop("tsrc")
+
+    sums = bucketed(narrow).groupBy("src", "bucket").agg(F.sum("size").alias("words"))
     prior = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("src").alias("ssrc"), F.col("bucket").alias("sbucket"), F.coalesce(F.sum("words").over(prior), F.lit(0)).alias("prior"))
     own = Window.partitionBy("src", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    j = j.withColumn("within", F.coalesce(F.sum("size").over(own), F.lit(0)))
+    j = bucketed(docs).withColumn("within", F.coalesce(F.sum("size").over(own), F.lit(0)))
     j = j.join(sums, same(F.col("src"), F.col("ssrc")) & (F.col("bucket") == F.col("sbucket")), "left")
 
     start, end = F.col("prior") + F.col("within"), F.col("prior") + F.col("within") + F.col("size")
@@ -94,23 +104,48 @@ def planned(df: DataFrame, doc_id: str, text: str, source: str, share: float, mo
     a = F.lit(SLOPE) * (1 - F.col("turn"))  # 1, 0, -1 for the three turns
     # a t^2 + (1 - a) t = u
     root = (2 * u) / ((1 - a) + F.sqrt((1 - a) * (1 - a) + 4 * a * u))
-    return j.select("doc_id", "src", "size", "source_size", "target", "taken", root.alias("position"))
+    more = [c for c in docs.columns if c not in ("doc_id", "src", "size", "h")]
+    return j.select("doc_id", "src", "size", "source_size", "target", "taken", root.alias("position"), *more)
 
 
-def mixed_rows(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def mixed_rows(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """The rows of ``df``, all columns, in training order, each once for each pass that takes words of it; a part counts as a whole.
 
-    Rows that the mix takes nothing of (and rows of size 0) go. Rows equal in id, source and size are alike. An empty table
-    gives no rows.
+    Rows that the mix takes nothing of (and rows of size 0) go. Each row has its own decision, rows equal in id, source and size
+    too. An empty table gives no rows. The rows travel with their decision, so no join brings the texts back.
     """
     names = df.columns
-    size = F.coalesce(F.regexp_count(F.col(quoted(text)), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = df.select(F.struct(*[F.col(quoted(c)) for c in names]).alias("row"), F.col(quoted(doc_id)).alias("id"), F.col(quoted(source)).cast("string").alias("src"), size.alias("words"))
-    # equal (id, source, size) rows are one decision; how many there are stays with it
-    plan = planned(df, doc_id, text, source, SHARE, MOST, BUCKET_ROWS).where("taken > 0")
-    plan = plan.groupBy("doc_id", "src", "size").agg(F.max("taken").alias("taken"), F.min("position").alias("position"))
-    on = F.col("id").eqNullSafe(F.col("doc_id")) & F.col("src").eqNullSafe(F.col("msrc")) & (F.col("words") == F.col("size"))
-    chosen = rows.join(plan.withColumnRenamed("src", "msrc").hint("shuffle_hash"), on)
+    narrow = written(sized(df, doc_id, text, source))
+    docs = sized(df, doc_id, text, source, F.struct(*[F.col(quoted(c)) for c in names]).alias("row"))
+    chosen = planned(docs, narrow, SHARE, MOST, bucket_rows).where("taken > 0")
     copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
     out = chosen.withColumn("turn", F.explode(F.sequence(F.lit(1), copies)))
-    return out.orderBy(F.col("turn"), F.col("position"), F.col("id").asc_nulls_last()).select(*[F.col("row")[c].alias(c) for c in names])
+    return out.orderBy(F.col("turn"), F.col("position"), F.col("doc_id").asc_nulls_last()).select(*[F.col("row")[c].alias(c) for c in names])
+
+
+#: DuckDB's SQL for the rows of the registered query.
+MIX_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn FROM docs GROUP BY source),
+weighed AS (
+  SELECT *, CASE turn WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0 ELSE 2.0 END AS weight, 2.0::DOUBLE * source_size AS cap FROM sources),
+levels AS (
+  SELECT a.cap / a.weight AS reach,
+    (1.5::DOUBLE * (SELECT sum(source_size) FROM weighed) - coalesce(sum(b.cap) FILTER (b.cap / b.weight < a.cap / a.weight), 0))
+      / sum(b.weight) FILTER (b.cap / b.weight >= a.cap / a.weight) AS level
+  FROM weighed a, weighed b GROUP BY a.source, a.cap, a.weight),
+water AS (SELECT arg_min(level, reach) AS level FROM levels WHERE level <= reach),
+targets AS (SELECT source, source_size, turn, coalesce(least(cap, weight * (SELECT level FROM water)), cap) AS target FROM weighed),
+placed AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.turn,
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY substr(md5(concat_ws('|', d.doc_id::VARCHAR, d.size::VARCHAR)), 1, 15), d.doc_id, d.size ROWS UNBOUNDED PRECEDING)::BIGINT - d.size AS start
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+counted AS (
+  SELECT *, least(2 * size, greatest(least(start + size, round(target)::BIGINT) - start, 0)
+    + greatest(least(start + size + source_size, round(target)::BIGINT) - start - source_size, 0))::BIGINT AS taken FROM placed),
+ranked AS (SELECT *, 0.5 * (1 - turn) AS a, CASE WHEN taken > 0 AND target > 0 THEN least((start + size / 2.0) / target, 1.0) END::DOUBLE AS u FROM counted)
+SELECT doc_id, size, source_size, round(target, 6) AS target, taken,
+  round((2 * u) / ((1 - a::DOUBLE) + sqrt((1 - a::DOUBLE) * (1 - a::DOUBLE) + 4 * a::DOUBLE * u)), 6) AS position
+FROM ranked"""

@@ -5,8 +5,9 @@ size. Tier two: a cache in each worker, filled by encoding what misses. Which en
 only, never a count.
 
 Pieces are cut before white space that follows something else. The vocabulary's pre-tokenisation always starts a new
-pre-token there and looks at nothing before it, so the sum over pieces is the count of the whole text. A text in which
-white space follows white space is cut by the pre-tokeniser's own pattern instead.
+pre-token there and looks at nothing before it, so the sum over pieces is the count of the whole text. Of several white
+spaces the last goes with what follows and the others are a piece of their own, as in the pre-tokeniser's pattern. Texts with
+white space other than spaces and line feeds are encoded whole.
 """
 
 from __future__ import annotations
@@ -19,11 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_text, quoted
+from .common import hash_sample, map_text, quoted
 
 #: Pre-tokenisation of the byte-level vocabularies (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-TABLE_ENTRIES, SAMPLE_ROWS, CACHE_ENTRIES = 50_000, 2_000, 400_000
+TABLE_ENTRIES, SAMPLE_ROWS = 50_000, 2_000
+#: Longer pieces are encoded each time; a cache of so many entries begins anew, so it has some 50 MB at most.
+LONGEST, CACHE_ENTRIES = 48, 300_000
+#: Spaces and line feeds in a row.
+RUNS = re.compile("[ \n](?=[^ \n])[^ \n]+|[^ \n]+|[ \n]+(?=[ \n][^ \n])|[ \n]+")
 #: White space other than the space and the line feed.
 ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Characters that every regex library puts in the same class; pieces with others go to the reference encoder.
@@ -66,20 +71,31 @@ def fast_encoder(path: str):
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def pieces(text: str) -> list[str] | None:
-    """The pieces after the first begin with a line feed, or else with the space that is left out here. None: not so simple a text."""
+def pieces(text: str) -> tuple[str, list[str], list[str]] | None:
+    """(first piece, further pieces, pieces of white space only) of a text without odd white space, else None.
+
+    A further piece begins with a line feed, or else with the space that is left out here.
+    """
+    if ODD_SPACE.search(text):
+        return None
     cut = text.replace("\n", " \n").split(" ")
-    return None if "" in cut or "\n" in cut or ODD_SPACE.search(text) else cut
+    if "" not in cut and "\n" not in cut:
+        return cut[0], cut[1:], []
+    cut = RUNS.findall(text)
+    first = cut.pop(0) if cut and cut[0][0] not in " \n" else ""
+    blank = [p for p in cut if not p.strip(" \n")]
+    return first, [p if p[0] == "\n" else p[1:] for p in cut if p.strip(" \n")], blank
 
 
-def frequent_table(df: DataFrame, text: str, path: str, entries: int = TABLE_ENTRIES, rows: int = SAMPLE_ROWS) -> dict[str, int]:
-    """Lengths of at most ``entries`` pieces that are frequent in ``rows`` texts (a warm-up of the cache, see the module)."""
+def frequent_table(df: DataFrame, text: str, path: str, entries: int = TABLE_ENTRIES, rows: int = SAMPLE_ROWS, doc_id: str = "doc_id") -> dict[str, int]:
+    """Lengths of at most ``entries`` pieces that are frequent in about ``rows`` texts from all over the table (a warm-up of the cache, see the module)."""
     c = F.col(quoted(text)).cast("string")
     count: Counter[str] = Counter()
-    for r in df.select(c.alias("t")).where(F.length(c).between(1, 20_000)).limit(rows).collect():
-        count.update((pieces(r[0]) or [])[1:])
+    some = df.select(F.col(quoted(doc_id)).cast("string").alias("i"), c.alias("t")).where(F.length(c).between(1, 20_000))
+    for r in hash_sample(some, "i", rows, df.count()).limit(rows).collect():
+        count.update((pieces(r.t) or ("", [], []))[1])
     tiers = Tiers(path, {})
-    return {w: tiers.lengths[w] for w, _ in count.most_common(entries)}
+    return {w: tiers.lengths[w] for w, _ in count.most_common(entries) if len(w) <= LONGEST}
 
 
 class Lengths(dict):
@@ -90,7 +106,9 @@ class Lengths(dict):
         self.count = count
 
     def __missing__(self, piece: str) -> int:
-        n = self[piece] = self.count(piece if piece[0] == "\n" else " " + piece)
+        n = self.count(piece if piece[0] == "\n" else " " + piece)
+        if len(piece) <= LONGEST:
+            self[piece] = n
         return n
 
 
@@ -114,12 +132,8 @@ class Tiers:
             return self.exact(text)
         if len(self.lengths) > CACHE_ENTRIES:
             self.lengths = Lengths(self.table, self.exact)
-        first = cut[0]
-        cut[0] = cut[-1] if len(cut) > 1 else ""
-        if len(cut) > 1:
-            cut.pop()
-            return self.exact(first) + sum(map(self.lengths.__getitem__, cut))
-        return self.exact(first)
+        first, rest, blank = cut
+        return (self.exact(first) if first else 0) + sum(map(self.lengths.__getitem__, rest)) + sum(map(self.exact, blank))
 
 
 def token_counts(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", limit: int = 512, table_entries: int = TABLE_ENTRIES) -> DataFrame:
@@ -128,7 +142,7 @@ def token_counts(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
     Null text counts as empty (0 bytes, 0 tokens); a null id stays null; repeated rows and ids each give a row; an empty
     table gives no rows; other columns are not read. ``path`` must be readable on every executor.
     """
-    shared = df.sparkSession.sparkContext.broadcast(frequent_table(df, text, path, table_entries))
+    shared = df.sparkSession.sparkContext.broadcast(frequent_table(df, text, path, table_entries, doc_id=doc_id))
     kind = df.schema[doc_id].dataType.simpleString()
 
     def start():
