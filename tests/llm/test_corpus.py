@@ -54,6 +54,23 @@ def test_toxicity_edges(spark, odd_docs, no_docs, odd_rows):
     assert toxicity.fit_grammar(no_docs, labels.limit(0)).words
 
 
+def test_the_composed_table_says_what_the_transducers_say_one_after_the_other():
+    states, moves, factors = toxicity.clause_transducer().table(6)
+    r = random.Random(4)
+    for _ in range(300):
+        clause, at, factor = [r.randrange(6) for _ in range(r.randint(0, 12))], 0, 0.0
+        scope, seen, plain = 0, set(), 0.0
+        for x in clause:
+            factor += factors[at][x]
+            at = moves[at][x]
+            plain += not (scope and x == toxicity.THREAT)
+            seen.add((x, scope > 0) if x in (toxicity.INSULT, toxicity.THREAT) else x)
+            scope = toxicity.NEGATION_SCOPE if x == toxicity.NEGATION else max(0, scope - 1)
+        assert factor == plain
+        insult = 2 if (toxicity.INSULT, False) in seen else 1 if (toxicity.INSULT, True) in seen else 0
+        assert states[at] == (scope, toxicity.REPORT in seen, toxicity.TARGET in seen, (toxicity.THREAT, False) in seen, insult)
+
+
 def test_clauses():
     g = toxicity.Grammar(dict.fromkeys(toxicity.INSULTS, 3.0), {"lowei": 4.0})
     name = lambda t: (g.clause(t.split()) or (None,))[0]
@@ -62,6 +79,13 @@ def test_clauses():
     assert name("you are not a moron") == "negated"
     assert name("he said moron") == "reported"
     assert name("i will kill you") == "threat"
+    assert name("you i will kill") == "threat"
+    assert name("moron i will kill you") == name("i will kill you moron") == "threat"
+    assert name("i will not kill you") is None
+    assert name("he said i will kill you") == "reported"
+    # weights add along the path; a negated threat adds nothing
+    assert g.clause("moron i will kill you".split())[1] == 6.0
+    assert g.clause("you moron i do not kill".split())[1] == 3.0
     assert name("i will not kill you") is None
     assert name("a nice day") is None
     assert name("loweix") == "plain"

@@ -1,14 +1,15 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words are mapped to classes by a lexicon transducer: insult (with a weight), threat verb, target, negation, reported speech,
-other. A second transducer reads a clause's classes from left to right; its state holds whether a negation is in scope,
-whether speech is reported and whether a target was named. The two are composed: each clause with an insult or a threat
-is matched as one pattern (plain, targeted, negated, reported, threat) and gets the weight of its strongest word. A
-document's score is a logistic function of its clause weights by pattern.
-
-Insult entries and their weights are learned: words and word beginnings that are much more frequent in rows labelled toxic.
-So is the logistic function, with a prior that keeps it sensible where labels are few. Both are fitted on a bounded sample of
-labelled rows (``fit_rows``, half of it toxic rows where there are so many).
+Five small transducers are composed into one table. The lexicon transducer maps words to classes: insult and threat (with a
+weight), target, negation, reported speech, other. The negation transducer passes classes on and marks what follows a negation
+within its scope; the reported-speech transducer remembers that a clause reports; the target, threat and insult transducers
+remember what a clause has named, in any order. Their product reads a clause's classes from left to right, adds the
+weights along the path, and its last state tells the pattern: threat (a threat and a target), targeted, plain, negated, reported.
+A document's score is a logistic function of its clause weights by pattern.
+
+Insult entries are learned: words and word beginnings that are much more frequent in rows labelled toxic. So are their
+weights, those of the threat words, and the logistic function, with a prior that keeps it sensible where labels are few. All are
+fitted on a bounded sample of labelled rows (``fit_rows``, half of it toxic rows where there are so many).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,56 +35,103 @@ REPORTS = ("said", "says", "wrote", "claimed", "quoted", "called", "sagte", "dit
 PATTERNS = ("plain", "targeted", "negated", "reported", "threat")
 #: Prior means of the logistic function: constant, then by pattern.
 PRIOR = np.array([-4.0, 1.6, 2.0, 0.8, 0.6, 2.5])
-FIT_ROWS, MAX_ENTRIES, MIN_WEIGHT, MIN_SIGNAL, SURE_WEIGHT, SURE_SIGNAL, NEGATION_SCOPE = 8000, 500, 2.5, 14.0, 5.0, 150.0, 3
+FIT_ROWS, MAX_ENTRIES, MIN_WEIGHT, THREAT_WEIGHT, MIN_SIGNAL, SURE_WEIGHT, SURE_SIGNAL, NEGATION_SCOPE = 8000, 500, 2.5, 3.0, 14.0, 5.0, 150.0, 3
 BEGINNINGS = (4, 5, 6, 7, 8, 9)
 WORD = re.compile(r"[^\W_]+")
 CLAUSE_END = re.compile(r"[.!?;\n]")
-#: Word classes.
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+#: Word classes, and those that the negation transducer adds.
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, NEGATED_INSULT, NEGATED_THREAT = range(8)
+
+
+class Transducer:
+    """A finite-state transducer from state 0: ``step(state, symbol)`` gives (next state, output symbol, factor of the word's weight)."""
+
+    def __init__(self, step: Callable[[tuple, int], tuple[tuple, int, float]], start: tuple = (0,)):
+        self.step, self.start = step, start
+
+    def then(self, other: Transducer) -> Transducer:
+        """The composition: ``other`` reads what this one puts out; factors multiply."""
+        n = len(self.start)
+
+        def step(state: tuple, symbol: int) -> tuple[tuple, int, float]:
+            a, symbol, x = self.step(state[:n], symbol)
+            b, symbol, y = other.step(state[n:], symbol)
+            return a + b, symbol, x * y
+
+        return Transducer(step, self.start + other.start)
+
+    def table(self, symbols: int) -> tuple[list[tuple], list[list[int]], list[list[float]]]:
+        """(states, next state by symbol, factor by symbol), of all states that can be reached."""
+        states, moves, factors = [self.start], [], []
+        place = {self.start: 0}
+        for s in states:  # grows while it is read
+            made = [self.step(s, x) for x in range(symbols)]
+            for to, _, _ in made:
+                if to not in place:
+                    place[to] = len(states)
+                    states.append(to)
+            moves.append([place[to] for to, _, _ in made])
+            factors.append([x for _, _, x in made])
+        return states, moves, factors
+
+
+def negation(scope: int = NEGATION_SCOPE) -> Transducer:
+    """Marks insults and threats among the ``scope`` words after a negation."""
+    marked = {INSULT: NEGATED_INSULT, THREAT: NEGATED_THREAT}
+    return Transducer(lambda s, x: ((scope,), OTHER, 1.0) if x == NEGATION else ((max(s[0] - 1, 0),), marked.get(x, x) if s[0] else x, 1.0))
+
+
+def remembering(symbols: dict[int, int], factor: dict[int, float] | None = None) -> Transducer:
+    """Its state is the largest number that ``symbols`` gives for what was read; all is passed on."""
+    factor = factor or {}
+    return Transducer(lambda s, x: ((max(s[0], symbols.get(x, 0)),), x, factor.get(x, 1.0)))
+
+
+def clause_transducer() -> Transducer:
+    """States (scope, reported, target, threat, insult: 1 negated, 2 plain). A negated threat weighs nothing."""
+    return negation().then(remembering({REPORT: 1})).then(remembering({TARGET: 1})).then(remembering({THREAT: 1}, {NEGATED_THREAT: 0.0})).then(remembering({NEGATED_INSULT: 1, INSULT: 2}))
+
+
+def pattern_of(state: tuple) -> str | None:
+    _, reported, target, threat, insult = state
+    threat = threat and target
+    if not (threat or insult):
+        return None
+    return "reported" if reported else "threat" if threat else "negated" if insult == 1 else "targeted" if target else "plain"
 
 
 class Grammar:
     """The composed transducers and the logistic function. Holds a few hundred entries."""
 
-    def __init__(self, words: dict[str, float], beginnings: dict[str, float], weights: np.ndarray = PRIOR):
+    def __init__(self, words: dict[str, float], beginnings: dict[str, float], weights: np.ndarray = PRIOR, threats: dict[str, float] | None = None):
         self.words, self.beginnings, self.weights = words, beginnings, weights
+        self.threats = dict.fromkeys(THREATS, THREAT_WEIGHT) | (threats or {})
         self.classes = {w: k for k, own in ((REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS), (THREAT, THREATS)) for w in own}
         self.sizes = sorted({len(b) for b in beginnings})
+        states, self.moves, self.factors = clause_transducer().table(REPORT + 1)
+        self.patterns = [pattern_of(s) for s in states]
         # any place where an entry could begin; most texts have none
         found = sorted({*words, *beginnings, *THREATS}, key=lambda w: (-len(w), w))
         self.hint = re.compile("|".join(map(re.escape, found)))
 
     def word(self, w: str) -> tuple[int, float]:
-        """The lexicon transducer: (class, weight) of a lower-case word."""
+        """The lexicon transducer: (class, weight) of a lower-case word. A threat word is no insult."""
+        if (kind := self.classes.get(w)) == THREAT:
+            return THREAT, self.threats[w]
         weight = self.words.get(w, 0.0)
         for n in self.sizes:
             if len(w) > n:
                 weight = max(weight, self.beginnings.get(w[:n], 0.0))
-        return (INSULT, weight) if weight else (self.classes.get(w, OTHER), 0.0)
+        return (INSULT, weight) if weight else (kind or OTHER, 0.0)
 
     def clause(self, words: list[str]) -> tuple[str, float] | None:
-        """The clause transducer: the pattern that matches, and its weight."""
-        scope = 0
-        reported = target = threat = negated = False
-        weight = 0.0
+        """The composed transducer over a clause: the pattern that its last state tells, and the weight of its path."""
+        state, weight = 0, 0.0
         for w in words:
             kind, own = self.word(w)
-            if kind == NEGATION:
-                scope = NEGATION_SCOPE + 1
-            elif kind == REPORT:
-                reported = True
-            elif kind == TARGET:
-                if threat and not weight:
-                    return "threat", 3.0
-                target = True
-            elif kind == THREAT:
-                threat = not scope
-            elif kind == INSULT and own > weight:
-                weight, negated = own, scope > 0
-            scope -= scope > 0
-        if not weight:
-            return None
-        return ("reported" if reported else "negated" if negated else "targeted" if target else "plain"), weight
+            weight += own * self.factors[state][kind]
+            state = self.moves[state][kind]
+        return (self.patterns[state], weight) if self.patterns[state] else None
 
     def features(self, text: str) -> list[float]:
         """log(1 + sum of clause weights) by pattern."""
@@ -125,9 +173,10 @@ def signal(t, toxic, c, clean):
     return np.where(t * clean > c * toxic, 2 * (part(t, toxic, rate) + part(c, clean, rate)), 0.0)
 
 
-def learn_lexicon(rows: DataFrame, toxic: int, clean: int) -> tuple[dict[str, float], dict[str, float]]:
+def learn_lexicon(rows: DataFrame, toxic: int, clean: int) -> tuple[dict[str, float], dict[str, float], dict[str, float]]:
     """Words and beginnings that tell toxic rows of ``rows`` (text, toxic): first, one after the other, the entry that says
-    most about the toxic rows without an entry so far, then others that alone say very much. The seeds are always in it."""
+    most about the toxic rows without an entry so far, then others that alone say very much. The seeds are always in it. Third,
+    the weights of threat words that are among the frequent entries of toxic rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,7 +226,7 @@ def learn_lexicon(rows: DataFrame, toxic: int, clean: int) -> tuple[dict[str, fl
     words, beginnings = dict.fromkeys(INSULTS, MIN_WEIGHT), {}
     for i in chosen:
         (beginnings if names[i].endswith("*") else words)[names[i].removesuffix("*")] = float(weight[i])
-    return words, beginnings
+    return words, beginnings, {w: max(MIN_WEIGHT, float(weight[place[w]])) for w in THREATS if w in place}
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray = PRIOR, strength: float = 2.0) -> np.ndarray:
@@ -196,8 +245,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray = PRIOR, streng
 def fit_grammar(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 4, fit_rows: int = FIT_ROWS) -> Grammar:
     """Fit on labelled rows outside the held-out fold. About ``fit_rows`` rows, chosen by a hash of the id, go into it (half more at most).
 
-    Null ids and null labels take no part; an id labelled twice counts as toxic if one label says so. No labelled rows: the
-    seeds and the prior.
+    Null ids and null labels take no part; an id labelled twice counts as toxic if one label says so; documents that share an id
+    are one row of the sample. No labelled rows: the seeds and the prior.
     """
     own = labels.select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(label)).cast("int").alias("toxic"))
     own = own.where(F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & ~(bucket_of_id(folds) == 2)).groupBy("id").agg(F.max("toxic").alias("toxic"))
@@ -208,10 +257,11 @@ def fit_grammar(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
     spark = docs.sparkSession
     picked = F.broadcast(spark.createDataFrame(chosen, own.schema))  # fit_rows rows at most
     texts = docs.select(F.col(quoted(doc_id)).alias("id"), F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")).alias("text"))
-    sample = written(texts.join(picked, "id").select("text", "toxic"))
+    # rows that share an id are one row, that of the least text
+    sample = written(texts.join(picked, "id").groupBy("id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic"))
     n = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    words, beginnings = learn_lexicon(sample, n.get(1, 0), n.get(0, 0))
-    grammar = Grammar(words, beginnings)
+    words, beginnings, threats = learn_lexicon(sample, n.get(1, 0), n.get(0, 0))
+    grammar = Grammar(words, beginnings, threats=threats)
 
     def fn(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([part.column(0), pa.array([grammar.features(x.decode("utf-8", "replace")) for x in texts], pa.list_(pa.float64()))], ["toxic", "x"])
