@@ -424,22 +424,36 @@ def plain_ppm(train, order):
     return lambda t: sum(math.log10(p(s[i - order : i], s[i])) for s in [b"\xff" * order + t + b"\xff"] for i in range(order, len(s)))
 
 
-def test_trie_against_a_plain_one(monkeypatch):
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    r = random.Random(8)
+    texts = [bytes(r.choice(b"abcd ") for _ in range(r.randint(0, 60))) for _ in range(30)]
+    keys, n = np.unique(np.concatenate([k for _, _, k in ppm.batched(texts, 5)]), return_counts=True)
+    entries = ppm.Entries(keys[n > 1], np.log10(n[n > 1] / 100).astype(np.float32), 5).ready()
+    whole = entries.scores(texts)
+    monkeypatch.setattr(ppm, "PIECE", 7)
+    pieces = entries.scores(texts)
+    assert pieces[0].tolist() == pytest.approx(whole[0].tolist())
+    assert pieces[1] == whole[1]
+
+
+@pytest.mark.parametrize(("order", "entries"), [(0, 10), (2, 0), (5, 40), (5, 1_000_000)])
+def test_ppm_against_a_plain_one(spark, order, entries):
+    """However many entries are broadcast."""
     r = random.Random(9)
-    make = lambda: bytes(r.choice(b"abcd ") for _ in range(r.randint(0, 60)))
-    train, test = [make() for _ in range(30)], [make() for _ in range(20)] + [b"zzz abc", b""]
-    for order in (0, 2, 5):
-        keys = np.concatenate([k for _, _, k in ppm.batched(train, order)])
-        u, n = np.unique(keys, return_counts=True)
-        trie, plain = ppm.Trie(u, n, order).ready(), plain_ppm(train, order)
-        want = [plain(t) for t in test]
-        assert trie.scores(test).tolist() == pytest.approx(want, rel=1e-5)
-        monkeypatch.setattr(ppm, "PIECE", 7)  # long texts in pieces
-        assert trie.scores(test).tolist() == pytest.approx(want, rel=1e-5)
-        monkeypatch.setattr(ppm, "PIECE", 1_000_000)
-
-
-def test_order_falls_with_the_bound(spark):
-    df = spark.createDataFrame([(b"abcabd",), (b"xyzxyw",)], "t binary")
-    assert ppm.fit_trie(df, 5, 4_000_000).order == 5
-    assert ppm.fit_trie(df, 5, 3).order == 2
+    make = lambda: "".join(r.choice("abcd ") for _ in range(r.randint(0, 60)))
+    rows = [(i, make()) for i in range(60)] + [(61, "zzz abc"), (62, ""), (63, None), (64, "zz")]
+    got = ppm.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), order=order, most_entries=entries).collect()
+    plain = plain_ppm([(t or "").encode() for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2], order)
+    assert {x.doc_id: x.score for x in got} == {i: pytest.approx(plain((t or "").encode()), rel=1e-5) for i, t in rows}
+
+
+def test_ppm_without_training_rows(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    got = ppm.score_texts(spark.createDataFrame([(held, "abc")], "doc_id long, text string")).first()
+    assert got.score == pytest.approx(-4 * math.log10(256))
+
+
+def test_the_model_grows_with_the_corpus(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select(F.encode("text", "UTF-8").alias("t"))
+    half, whole = (ppm.fit_model(d)[0].count() for d in (docs.limit(docs.count() // 2), docs))
+    assert whole > 1.3 * half

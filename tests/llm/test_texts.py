@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import struct
 import re
 import zlib
 
@@ -140,9 +141,52 @@ def test_feature_covers_every_image():
     one = r.integers(32, 127, jpeg.MAX_ROWS * jpeg.UNIT + 192 * 40, dtype=np.uint8)
     two = one.copy()
     two[jpeg.MAX_ROWS * jpeg.UNIT :] = two[: jpeg.MAX_ROWS * jpeg.UNIT - 1 : -1]
-    a, b = (jpeg.features(jpeg.write_media(x.tobytes())) for x in (one, two))
-    assert a[0] == b[0] == len(one)
-    assert a[5] != b[5] and a[5].startswith("2:1536x65528:") and ":1536x320:" in a[5]
+    a, b = jpeg.stored([one.tobytes(), two.tobytes()])
+    assert a[0] == a[1] == b[1] == len(one)
+    assert a[6] != b[6]
+    assert a[6].startswith("2:1536x65528:")
+    assert ":1536x320:" in a[6]
+
+
+def plain_hash(rows, columns, p):
+    """The feature's hash, pixel by pixel."""
+    x = [[p[y * columns + c] for c in range(columns)] for y in range(rows)]
+    if rows < 8:
+        x = [row for row in x for _ in range(-(-8 // rows))][:8]
+        rows = 8
+    out = 0
+    for k in range(8):
+        own = x[k * rows // 8 : (k + 1) * rows // 8]
+        edges = [j * columns // 9 for j in range(10)]
+        means = [sum(sum(row[a:b]) for row in own) / (b - a) for a, b in zip(edges, edges[1:], strict=False)]
+        for a, b in zip(means, means[1:], strict=False):
+            out = out << 1 | (b > a)
+    return f"{out:016x}"
+
+
+@pytest.mark.parametrize("n", [192, 192 * 7, 192 * 50, 192 * 4 * 400])
+def test_feature_against_a_plain_version(n):
+    p = random.Random(n).randbytes(n)
+    columns, rows = jpeg.shape(n)
+    assert jpeg.stored([p])[0][6] == f"1:{columns * 8}x{rows * 8}:{plain_hash(rows, columns, p)}"
+
+
+def test_stored_texts_do_not_depend_on_their_batch():
+    r = random.Random(1)
+    texts = [r.randbytes(r.choice([0, 5, 191, 192, 193, 5000])) for _ in range(40)]
+    assert jpeg.stored(texts) == [x for t in texts for x in jpeg.stored([t])]
+
+
+def test_damaged_data_are_refused():
+    whole = jpeg.write_media(random.Random(2).randbytes(192 * 4))
+    at = whole.index(b"\xff\xd0")
+    for bad in (whole[:-2], whole[:-60], whole[: at - 20] + whole[at:], whole[:at] + b"\xff\xd9", whole[1:]):
+        with pytest.raises(ValueError, match="early|missing|word|start"):
+            jpeg.read_media(bad)
+    scan = whole.index(b"\x3f\x00") + 2
+    no_runs = whole.replace(jpeg.segment(0xDD, struct.pack(">H", 192)), b"")
+    with pytest.raises(ValueError, match="early"):  # bit by bit
+        jpeg.read_media(no_runs[: scan + 30] + b"\xff\xd9")
 
 
 def coded(blocks, components, restart=0, size=(16, 16)):

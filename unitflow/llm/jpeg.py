@@ -1,12 +1,14 @@
-"""Baseline JPEG media columns: a lossless DC-only writer and a DC-only reader in numpy.
+"""Baseline JPEG media columns: a lossless DC-only writer and a reader that reconstructs DC-only luminance thumbnails, in numpy.
 
 Writer: each sample becomes one flat 8x8 block. With a quantiser of 8 the DC coefficient of a flat block is the sample
-less 128, exactly, so the thumbnail of DC values is the payload. The DC code gives category s a word of 9 - s bits; with
-its s extra bits and the one-bit end of block every block has ten bits, which numpy packs and unpacks as a whole.
-
-Reader: parses the markers, builds the Huffman tables from the file and decodes the scan to DC values. Any baseline scan
-is read (several components, sampling factors, restart intervals, AC coefficients); a scan whose tables give blocks of one
-fixed length is read without a loop. The thumbnail has one pixel a luminance block.
+less 128, exactly, so the thumbnail of DC values is the payload. DC differences are Huffman-coded with the usual luminance table
+(words of 2 to 9 bits), each block ends with the end-of-block word, and every INTERVAL blocks a restart marker begins a new run.
+
+Reader: parses the markers, builds the Huffman tables from the file and decodes the scan to DC values, passing over AC
+coefficients. The runs between restart markers are independent, so those of all images of a batch are decoded side by side,
+block by block, by look-up on the next 16 bits; other scans (several components, no restarts) are read bit by bit. Data that
+end early, a missing run, a word that no table has or a coefficient beyond the block's end raise ValueError. The thumbnail has one pixel
+a luminance block.
 """
 
 from __future__ import annotations
@@ -41,23 +43,26 @@ def huffman_words(counts: bytes, symbols: bytes) -> list[tuple[int, int, int]]:
     return out
 
 
-DC_COUNTS, DC_SYMBOLS = bytes([1] * 9 + [0] * 7), bytes(range(8, -1, -1))
+#: The usual Huffman table of luminance DC differences (ITU-T T.81, K.3).
+DC_COUNTS, DC_SYMBOLS = bytes([0, 1, 5, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0]), bytes(range(12))
+#: One word, "0", for the end of a block.
 AC_COUNTS, AC_SYMBOLS = bytes([1] + [0] * 15), bytes([0])
+INTERVAL = UNIT
 
 
-def block_words() -> np.ndarray:
-    """The ten bits of a block by its DC difference + 255."""
+def block_words() -> tuple[np.ndarray, np.ndarray]:
+    """The bits of a block, and how many, by its DC difference + 255."""
     words = {s: (w, n) for s, w, n in huffman_words(DC_COUNTS, DC_SYMBOLS)}
-    out = np.zeros(511, np.uint16)
+    out, size = np.zeros(511, np.uint64), np.zeros(511, np.int64)
     for d in range(-255, 256):
         s = abs(d).bit_length()
         w, n = words[s]
-        assert n + s == 9
         out[d + 255] = ((w << s) | (d if d >= 0 else d + (1 << s) - 1)) << 1
-    return out
+        size[d + 255] = n + s + 1
+    return out, size
 
 
-BLOCKS = block_words()
+BLOCKS, BLOCK_BITS = block_words()
 
 
 def shape(n: int) -> tuple[int, int]:
@@ -74,23 +79,58 @@ def pieces(n: int) -> list[int]:
     return [n] if n <= most else [most] * (n // most) + ([n % most] if n % most else [])
 
 
-def write_image(samples: np.ndarray) -> bytes:
-    """One DC-only baseline image of 8-bit samples; their number is a multiple of UNIT."""
-    columns, rows = shape(len(samples))
-    words = BLOCKS[np.diff(samples.astype(np.int16), prepend=np.int16(128)) + 255].astype(np.uint64).reshape(-1, 4)
-    joined = (words[:, 0] << np.uint64(30)) | (words[:, 1] << np.uint64(20)) | (words[:, 2] << np.uint64(10)) | words[:, 3]
-    scan = (joined << np.uint64(24)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes().replace(b"\xff", b"\xff\x00")
-    return b"".join([
-        b"\xff\xd8",
-        segment(0xE0, b"JFIF\x00\x01\x01\x00\x00\x01\x00\x01\x00\x00"),
-        segment(0xDB, b"\x00" + bytes([8] * 64)),
-        segment(0xC0, struct.pack(">BHHBBBB", 8, rows * 8, columns * 8, 1, 1, 0x11, 0)),
-        segment(0xC4, b"\x00" + DC_COUNTS + DC_SYMBOLS),
-        segment(0xC4, b"\x10" + AC_COUNTS + AC_SYMBOLS),
-        segment(0xDA, b"\x01\x01\x00\x00\x3f\x00"),
-        scan,
-        b"\xff\xd9",
-    ])
+def write_runs(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scan data of all runs (INTERVAL samples each), stuffed, one after the other; and where each begins, with the end last."""
+    runs = samples.reshape(-1, INTERVAL).astype(np.int16)
+    which = np.diff(runs, axis=1, prepend=np.int16(128)) + 255
+    word, size = BLOCKS[which], BLOCK_BITS[which]
+    bits = size.sum(1)
+    fill = -bits % 8  # ones up to the byte
+    word = np.concatenate([word, ((1 << fill) - 1).astype(np.uint64)[:, None]], 1).reshape(-1)
+    size = np.concatenate([size, fill[:, None]], 1).reshape(-1)
+    at = np.cumsum(size) - size
+    # a word lies in one or two 32-bit units; words of a unit stand together and share no bit
+    both = word << (np.uint64(64) - (at & 31).astype(np.uint64) - size.astype(np.uint64)) % np.uint64(64)
+    unit = at >> 5
+    first = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
+    out = np.zeros(int(unit[-1]) + 2, np.uint64)
+    out[unit[first]] = np.add.reduceat(both >> np.uint64(32), first)
+    out[unit[first] + 1] += np.add.reduceat(both & np.uint64(0xFFFFFFFF), first)
+    plain = out.astype(">u4").view(np.uint8)[: int(bits.sum() + fill.sum()) // 8]
+    full = plain == 0xFF  # a zero byte follows
+    to = np.arange(len(plain)) + np.cumsum(full) - full
+    data = np.zeros(len(plain) + int(full.sum()), np.uint8)
+    data[to] = plain
+    start = np.concatenate([[0], np.cumsum((bits + fill) // 8)])
+    return data, start + np.concatenate([[0], np.cumsum(full)])[start]
+
+
+def write_images(payloads: list[bytes]) -> list[bytes]:
+    """Each payload (its size a multiple of UNIT) as images, one after the other."""
+    sizes = [pieces(len(p)) for p in payloads]
+    data, start = write_runs(np.frombuffer(b"".join(payloads), np.uint8))
+    out, at = [], 0
+    for own in sizes:
+        parts = []
+        for n in own:
+            columns, rows = shape(n)
+            runs = n // INTERVAL
+            parts += [
+                b"\xff\xd8",
+                segment(0xE0, b"JFIF\x00\x01\x01\x00\x00\x01\x00\x01\x00\x00"),
+                segment(0xDB, b"\x00" + bytes([8] * 64)),
+                segment(0xC0, struct.pack(">BHHBBBB", 8, rows * 8, columns * 8, 1, 1, 0x11, 0)),
+                segment(0xC4, b"\x00" + DC_COUNTS + DC_SYMBOLS),
+                segment(0xC4, b"\x10" + AC_COUNTS + AC_SYMBOLS),
+                segment(0xDD, struct.pack(">H", INTERVAL)),
+                segment(0xDA, b"\x01\x01\x00\x00\x3f\x00"),
+            ]
+            for k in range(runs):
+                parts.append(data[start[at + k] : start[at + k + 1]].tobytes())
+                parts.append(bytes([0xFF, 0xD0 + k % 8 if k < runs - 1 else 0xD9]))
+            at += runs
+        out.append(b"".join(parts))
+    return out
 
 
 def padded(text: bytes) -> bytes:
@@ -99,12 +139,7 @@ def padded(text: bytes) -> bytes:
 
 
 def write_media(payload: bytes) -> bytes:
-    """The payload as images, one after the other."""
-    samples, out, at = np.frombuffer(payload, np.uint8), [], 0
-    for n in pieces(len(samples)):
-        out.append(write_image(samples[at : at + n]))
-        at += n
-    return b"".join(out)
+    return write_images([payload])[0]
 
 
 class Bits:
@@ -115,7 +150,9 @@ class Bits:
 
     def need(self, n: int) -> None:
         while self.left < n:
-            self.value = (self.value << 8) | (self.data[self.at] if self.at < len(self.data) else 0xFF)
+            if self.at >= len(self.data):
+                raise ValueError("the scan ends early")
+            self.value = (self.value << 8) | self.data[self.at]
             self.at, self.left = self.at + 1, self.left + 8
 
     def take(self, n: int) -> int:
@@ -172,7 +209,9 @@ class Image:
                 break
         self.scan_at, stop = at, at
         while True:  # FF 00 is a stuffed byte, FF D0 to D7 a restart
-            stop = data.index(b"\xff", stop)
+            stop = data.find(b"\xff", stop)
+            if not 0 <= stop < len(data) - 1:
+                raise ValueError("the scan ends early")
             if data[stop + 1] == 0 or 0xD0 <= data[stop + 1] <= 0xD7:
                 stop += 2
             else:
@@ -180,38 +219,28 @@ class Image:
         self.scan = data[at:stop]
         self.end = stop + 2 if data[stop + 1] == 0xD9 else stop
 
-    def fixed_bits(self) -> bool:
-        """Every block has ten bits, in one component without restarts."""
-        if len(self.parts) != 1 or self.restart:
-            return False
-        t = self.chosen[self.parts[0][0]]
-        (dc, ac) = self.tables[t >> 4], self.tables[16 | (t & 15)]
-        return ac == (AC_COUNTS, AC_SYMBOLS) and all(s + n == 9 for s, _, n in huffman_words(*dc))
+    def side_by_side(self) -> bool:
+        """One component in runs."""
+        return len(self.parts) == 1 and self.restart > 0
 
-    def thumbnail(self) -> np.ndarray:
-        """Luminance, one 8-bit pixel a block."""
-        component, h, v, q = self.parts[0]
+    def size(self) -> tuple[int, int]:
+        """Columns and rows of luminance blocks."""
+        _, h, v, _ = self.parts[0]
         top_h, top_v = max(p[1] for p in self.parts), max(p[2] for p in self.parts)
         if len(self.parts) == 1:
-            columns, rows = -(-self.width // 8), -(-self.height // 8)
-        else:
-            columns, rows = -(-(-(-self.width * h // top_h)) // 8), -(-(-(-self.height * v // top_v)) // 8)
-        dc = self.fixed(columns, rows) if self.fixed_bits() else self.general(columns, rows, top_h, top_v)
-        return np.clip((dc * self.quant[q] + 4) // 8 + 128, 0, 255).astype(np.uint8)
-
-    def fixed(self, columns: int, rows: int) -> np.ndarray:
-        raw = np.frombuffer(self.scan.replace(b"\xff\x00", b"\xff"), np.uint8)
-        n = columns * rows
-        wide = np.zeros((-(-n // 4), 8), np.uint8)
-        wide[:, 3:] = np.pad(raw, (0, max(0, 5 * len(wide) - len(raw))))[: 5 * len(wide)].reshape(-1, 5)
-        four = wide.view(">u8")[:, 0].astype(np.uint64)
-        words = np.stack([(four >> np.uint64(s)) & np.uint64(1023) for s in (30, 20, 10, 0)], 1).reshape(-1)[:n]
-        t = self.chosen[self.parts[0][0]]
-        differences = np.zeros(1024, np.int32)
-        for s, word, bits in huffman_words(*self.tables[t >> 4]):
-            for e in range(1 << s):
-                differences[((word << s) | e) << 1] = extended(e, s)
-        return np.cumsum(differences[words]).reshape(rows, columns)
+            return -(-self.width // 8), -(-self.height // 8)
+        return -(-(-(-self.width * h // top_h)) // 8), -(-(-(-self.height * v // top_v)) // 8)
+
+    def pixels(self, dc: np.ndarray) -> np.ndarray:
+        """Luminance, one 8-bit pixel a block, of the DC values."""
+        columns, rows = self.size()
+        return np.clip((dc.reshape(rows, columns) * self.quant[self.parts[0][3]] + 4) // 8 + 128, 0, 255).astype(np.uint8)
+
+    def thumbnail(self) -> np.ndarray:
+        if self.side_by_side():
+            return thumbnails([self])[0]
+        columns, rows = self.size()
+        return self.pixels(self.general(columns, rows, max(p[1] for p in self.parts), max(p[2] for p in self.parts)))
 
     def general(self, columns: int, rows: int, top_h: int, top_v: int) -> np.ndarray:
         tables = {k: {(n, w): s for s, w, n in huffman_words(*t)} for k, t in self.tables.items()}
@@ -230,6 +259,8 @@ class Image:
             at = stop + 2 if stop >= 0 else len(self.scan)
         runs = runs or [self.scan]
         unit, total = 0, across * down
+        if len(runs) != (-(-total // self.restart) if self.restart else 1):
+            raise ValueError("a run is missing")
         for run in runs:
             bits, last = Bits(run.replace(b"\xff\x00", b"\xff")), [0] * len(self.parts)
             for _ in range(min(self.restart or total, total - unit)):
@@ -246,22 +277,137 @@ class Image:
                                     break
                                 bits.take(r & 15)
                                 place += (r >> 4) + 1
+                                if place > 64:
+                                    raise ValueError("a coefficient stands beyond the block")
                             if k == 0:
                                 out[unit // across * v + y, unit % across * h + x] = last[0]
                 unit += 1
         return out[:rows, :columns]
 
 
-def read_media(data: bytes) -> list[np.ndarray]:
-    """Thumbnails of the images in ``data``."""
+_looked: dict[tuple[bytes, bytes], np.ndarray] = {}
+
+
+def look_up(counts: bytes, symbols: bytes) -> np.ndarray:
+    """By the next 16 bits: symbol * 32 + bits of its word; 0 where no word begins so."""
+    if (counts, symbols) not in _looked:
+        table = np.zeros(1 << 16, np.int32)
+        for s, word, bits in huffman_words(counts, symbols):
+            table[word << (16 - bits) : (word + 1) << (16 - bits)] = s * 32 + bits
+        if len(_looked) > 64:
+            _looked.clear()
+        _looked[counts, symbols] = table
+    return _looked[counts, symbols]
+
+
+def unstuffed(scan: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a scan without markers and stuffed zeros, and where each run begins, with the end last."""
+    b = np.frombuffer(scan, np.uint8)
+    after = np.flatnonzero(b[:-1] == 0xFF) + 1
+    marker = after[b[after] != 0]
+    out = np.ones(len(b), bool)
+    out[after] = False
+    out[marker - 1] = False
+    kept = np.concatenate([[0], np.cumsum(out)])
+    return b[out], np.concatenate([[0], kept[marker], kept[-1:]])
+
+
+def decoded_runs(data: np.ndarray, start: np.ndarray, blocks: np.ndarray, dc: np.ndarray, ac: np.ndarray) -> np.ndarray:
+    """DC values of all runs, one after the other: run i's bits begin at byte start[i], and it has blocks[i] blocks."""
+    wide = np.zeros(len(data) + 8, np.uint64)
+    wide[: len(data)] = data
+    window = np.zeros(len(data) + 1, np.uint64)  # the 32 bits from each byte on
+    for k in range(4):
+        window |= wide[k : k + len(window)] << np.uint64(24 - 8 * k)
+    at, stop = start[:-1].astype(np.int64) * 8, start[1:].astype(np.int64) * 8
+    out_at = np.cumsum(blocks) - blocks
+    out = np.zeros(int(blocks.sum()), np.int32)
+    last = np.zeros(len(blocks), np.int64)
+
+    def bits(place: np.ndarray) -> np.ndarray:
+        """The next 16 (of at least 25) bits."""
+        return (window[np.minimum(place >> 3, len(data))] >> (np.uint64(16) - (place & 7).astype(np.uint64))).astype(np.int64) & 0xFFFF
+
+    def symbol(table: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = table[bits(place)]
+        if not found.all():
+            raise ValueError("no such Huffman word")
+        return found >> 5, place + (found & 31)
+
+    order = np.argsort(-blocks, kind="stable")  # runs that have a block at a step stand first
+    left = -blocks[order]
+    for step in range(int(blocks.max(initial=0))):
+        live = order[: int(np.searchsorted(left, -step, side="left"))]
+        s, place = symbol(dc, at[live])
+        extra = bits(place) >> (16 - s)
+        last[live] += np.where(s == 0, 0, np.where(extra >> np.maximum(s - 1, 0) == 1, extra, extra - (1 << s) + 1))
+        place = place + s
+        out[out_at[live] + step] = last[live]
+        # AC coefficients: passed over up to the end of the block
+        going, seen = np.arange(len(live)), np.ones(len(live), np.int64)
+        while len(going):
+            r, to = symbol(ac, place[going])
+            place[going] = to + (r & 15)
+            going = going[r != 0]
+            seen[going] += (r[r != 0] >> 4) + 1
+            if (seen[going] > 64).any():
+                raise ValueError("a coefficient stands beyond the block")
+            going = going[seen[going] < 64]
+        at[live] = place
+        if (place > stop[live]).any():
+            raise ValueError("the scan ends early")
+    return out
+
+
+def thumbnails(images: list[Image]) -> list[np.ndarray]:
+    """Those of images of side_by_side(): all runs with the same tables are decoded at once."""
+    out: list = [None] * len(images)
+    alike: dict[tuple, list[int]] = {}
+    for i, x in enumerate(images):
+        t = x.chosen[x.parts[0][0]]
+        alike.setdefault((x.tables[t >> 4], x.tables[16 | (t & 15)]), []).append(i)
+    for (dc, ac), own in alike.items():
+        data, start, blocks, base = [], [], [], 0
+        for i in own:
+            x = images[i]
+            b, s = unstuffed(x.scan)
+            columns, rows = x.size()
+            n = np.full(-(-columns * rows // x.restart), x.restart)
+            n[-1] -= int(n.sum()) - columns * rows
+            if len(n) != len(s) - 1:
+                raise ValueError("a run is missing")
+            data.append(b)
+            start.append(s[:-1] + base)
+            blocks.append(n)
+            base += len(b)
+        values = decoded_runs(np.concatenate(data), np.append(np.concatenate(start), base), np.concatenate(blocks), look_up(*dc), look_up(*ac))
+        at = 0
+        for i, n in zip(own, blocks, strict=True):
+            out[i] = images[i].pixels(values[at : at + int(n.sum())])
+            at += int(n.sum())
+    return out
+
+
+def parsed(data: bytes) -> list[Image]:
     out, at = [], 0
     while at < len(data):
-        image = Image(data, at)
-        out.append(image.thumbnail())
-        at = image.end
+        out.append(Image(data, at))
+        at = out[-1].end
     return out
 
 
+def read_images(media: list[bytes]) -> list[list[np.ndarray]]:
+    """Thumbnails of the images in each stored text."""
+    images = [parsed(m) for m in media]
+    flat = [x for own in images for x in own]
+    fast = iter(thumbnails([x for x in flat if x.side_by_side()]))
+    return [[next(fast) if x.side_by_side() else x.thumbnail() for x in own] for own in images]
+
+
+def read_media(data: bytes) -> list[np.ndarray]:
+    return read_images([data])[0]
+
+
 def thumbnail_hash(t: np.ndarray) -> str:
     """64-bit difference hash: means of an 8 x 9 grid, one bit where the right neighbour is brighter."""
     rows = np.add.reduceat(t.astype(np.int64), np.arange(8) * t.shape[0] // 8, axis=0) if t.shape[0] >= 8 else np.repeat(t.astype(np.int64), -(-8 // t.shape[0]), axis=0)[:8]
@@ -275,14 +421,36 @@ def thumbnail_hash(t: np.ndarray) -> str:
 FEATURES = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, width int, height int"
 
 
-def features(media: bytes) -> tuple:
-    thumbnails = read_media(media)
-    payload = b"".join(t.tobytes() for t in thumbnails)
-    first = thumbnails[0]
-    said = ":".join([str(len(thumbnails)), *(f"{t.shape[1] * 8}x{t.shape[0] * 8}:{thumbnail_hash(t)}" for t in thumbnails)])
+def features(media: bytes, own: list[np.ndarray]) -> tuple:
+    """The digest columns of stored bytes and the thumbnails that were read from them."""
+    payload = b"".join(t.tobytes() for t in own)
+    first = own[0]
+    said = ":".join([str(len(own)), *(f"{t.shape[1] * 8}x{t.shape[0] * 8}:{thumbnail_hash(t)}" for t in own)])
     return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), said, first.shape[1] * 8, first.shape[0] * 8
 
 
+def batches_of(texts: list[bytes], most: int = 2_000_000) -> list[list[bytes]]:
+    """Texts in stretches of about ``most`` bytes; a longer text is one of its own."""
+    out: list[list[bytes]] = []
+    size = 0
+    for t in texts:
+        if not out or size + len(t) > most:
+            out.append([])
+            size = 0
+        out[-1].append(t)
+        size += len(t) + UNIT
+    return out
+
+
+def stored(texts: list[bytes]) -> list[tuple]:
+    """The digest columns of each text: written, read back, described."""
+    out = []
+    for some in batches_of(texts):
+        media = write_images([padded(t) for t in some])
+        out += [(len(t), *features(m, own)) for t, m, own in zip(some, media, read_images(media), strict=True)]
+    return out
+
+
 def media_features(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Store each text as baseline JPEG, read the stored bytes back, and give their dimensions, digests and thumbnail hash.
 
@@ -294,7 +462,7 @@ def media_features(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     kind = df.schema[doc_id].dataType.simpleString()
 
     def fn(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
-        rows = [(len(x), *features(write_media(padded(x)))) for x in texts]
+        rows = stored(texts)
         types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32()]
         cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
         return pa.RecordBatch.from_arrays([part.column(0), *cols], ["doc_id", *(x.split()[0] for x in FEATURES.split(", "))])
@@ -307,6 +475,6 @@ def with_media(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     kind = df.schema[doc_id].dataType.simpleString()
 
     def fn(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([part.column(0), pa.array([write_media(padded(x)) for x in texts], pa.binary())], ["doc_id", "media"])
+        return pa.RecordBatch.from_arrays([part.column(0), pa.array([m for some in batches_of(texts) for m in write_images([padded(x) for x in some])], pa.binary())], ["doc_id", "media"])
 
     return map_text(df, [doc_id], text, fn, f"doc_id {kind}, media binary")

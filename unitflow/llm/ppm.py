@@ -7,11 +7,13 @@ already seen are excluded. Below the empty context all 256 symbols are alike. Ex
 node's escape is kept as one factor: escape / (1 - what its symbols have in the shorter context).
 
 The counts of the longest contexts are gathered over all rows, in sorted blobs by key range; those of shorter ones are
-their sums. The trie is broadcast. It has ``max_nodes`` entries of the longest order at most: the order is the largest, up to
-MAX_ORDER, that fits, and order 2 always does in UTF-8 text.
+their sums, and probabilities and escape factors are made of them by aggregation. ``order`` is the same at every size, and the
+model is a table in the shared folder that grows with the corpus. Only its most frequent entries of the longest order are
+broadcast (``most_entries`` at most; which ones decides speed, never a score). What a text needs beyond them is asked for once a
+different key, meets the table in a join, at shorter orders where the longest does not have it, and goes back to its text.
 
-Base score. Add-one unigrams of words. The most frequent words' counts (FREQUENT of them) are broadcast; the other
-words of each document meet their counts in a join, so no vocabulary is cut.
+Base score. Add-one unigrams of words. The counts of the most frequent words (FREQUENT at most, of LONGEST_WORD bytes at most)
+are broadcast; the other words of each document meet their counts in a join, so no vocabulary is cut.
 """
 
 from __future__ import annotations
@@ -23,13 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import forget, held_out, quoted, small_batches, written
 from .suffix_dedup import texts_in
 
-MAX_ORDER, MAX_NODES, FREQUENT, RANGES, PIECE = 5, 4_000_000, 200_000, 48, 1_000_000
+ORDER, MOST_ENTRIES, FREQUENT, LONGEST_WORD, RANGES, PIECE = 5, 2_000_000, 200_000, 48, 48, 1_000_000
 END = 0xFF  # no byte of UTF-8; also stands before the text
 END_WORD = b" "  # no word has white space
 
@@ -116,71 +118,38 @@ class Hashed:
         return value, found
 
 
-class Trie:
-    """Logarithms (base 10) of probabilities and escape factors by order, from the counts of the longest order."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int):
-        self.order, self.levels = order, []
-        # order -1: 256 equal symbols
-        shorter_keys, shorter_p = None, None
-        for k in range(order + 1):
-            own, c = summed(keys & np.uint64((1 << 8 * (k + 1)) - 1), counts) if k < order else (keys, counts)
-            if not len(own):
-                self.levels.append(None)
-                continue
-            context = own >> np.uint64(8)
-            start = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-            q = np.diff(np.append(start, len(own)))
-            n = np.add.reduceat(c, start)
-            p = (2 * c - 1) / (2 * np.repeat(n, q))
-            if k == 0:
-                below = np.full(len(own), 1 / 256)
-            else:
-                below = shorter_p[np.searchsorted(shorter_keys, own & np.uint64((1 << 8 * k) - 1))]
-            free = 1 - np.add.reduceat(below, start)
-            # every symbol seen (order 0 only): there is nothing to escape to
-            factor = q / (2 * n) / np.maximum(free, 1e-12)
-            self.levels.append((own, np.log10(p).astype(np.float32), context[start], np.log10(factor).astype(np.float32)))
-            shorter_keys, shorter_p = own, p
-
-    def ready(self) -> Trie:
-        """Look-up tables, made in each worker once."""
-        if not hasattr(self, "tables"):
-            self.tables = [x and (Hashed(x[0], x[1]), Hashed(x[2], x[3])) for x in self.levels]
-            self.levels = None
+class Entries:
+    """The most frequent symbols in contexts of the longest order, with the logarithms of their probabilities."""
+
+    def __init__(self, keys: np.ndarray, logs: np.ndarray, order: int):
+        self.keys, self.logs, self.order = keys, logs, order
+
+    def ready(self) -> Entries:
+        """The look-up table, made in each worker once."""
+        if not hasattr(self, "table"):
+            self.table = Hashed(self.keys, self.logs)
+            self.keys = self.logs = None
         return self
 
     def __getstate__(self):
-        return {"order": self.order, "levels": self.levels}
-
-    def logs(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol given its context."""
-        out = np.zeros(len(keys))
-        left, own = None, keys
-        for k in range(self.order, -1, -1):
-            if self.tables[k] is None:
-                continue
-            own = own & np.uint64((1 << 8 * (k + 1)) - 1) if k < 7 else own
-            value, found = self.tables[k][0].find(own)
-            if left is None:
-                out[found] = value[found]
-                left = np.flatnonzero(~found)
-            else:
-                out[left[found]] += value[found]
-                left = left[~found]
-            if not len(left):
-                return out
-            own = own[~found]
-            factor, node = self.tables[k][1].find(own >> np.uint64(8))
-            out[left[node]] += factor[node]
-        out[left if left is not None else slice(None)] -= math.log10(256)
-        return out
-
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        out = np.zeros(len(texts))
+        return {"keys": self.keys, "logs": self.logs, "order": self.order}
+
+    def scores(self, texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+        """Of each text the sum over the entries, and the keys that are not among them, with their numbers."""
+        out, lost = np.zeros(len(texts)), [np.zeros((2, 0), np.uint64)]
         for index, start, keys in batched(texts, self.order):
-            np.add.at(out, index, np.add.reduceat(self.logs(keys), start))
-        return out
+            value, found = self.table.find(keys)
+            np.add.at(out, index, np.add.reduceat(np.where(found, value, np.float32(0)).astype(float), start))
+            rest = np.flatnonzero(~found)
+            lost.append(np.stack([index[np.searchsorted(start, rest, side="right") - 1].astype(np.uint64), keys[rest]]))
+        row, key = np.concatenate(lost, 1)
+        order = np.lexsort((key, row))
+        row, key = row[order], key[order]
+        first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (key[1:] != key[:-1])])) if len(row) else np.zeros(0, np.int64)
+        n = np.diff(np.append(first, len(row)))
+        ends = np.searchsorted(row[first], np.arange(len(texts) + 1, dtype=np.uint64))
+        pairs = pa.StructArray.from_arrays([pa.array(key[first].view(np.int64)), pa.array(n.astype(np.int32))], ["k", "n"])
+        return out, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
 
 
 def blob_rows(order: int):
@@ -229,34 +198,80 @@ def merge_blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-def shortened(order: int):
-    """Merged rows to rows of the order below ``order``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                yield from blobs(*summed(np.frombuffer(k, np.uint64) & np.uint64((1 << 8 * order) - 1), np.frombuffer(c, np.int64)))
-
-    return run
-
-
-def fit_trie(texts: DataFrame, max_order: int = MAX_ORDER, max_nodes: int = MAX_NODES) -> Trie:
-    """The trie of all rows of ``texts`` (t: UTF-8)."""
-    rows, order, old = texts.select("t").mapInArrow(blob_rows(max_order), "r int, keys binary, counts binary"), max_order, None
-    while True:
-        # one row a range and task
-        merged = written(rows.repartition("r").sortWithinPartitions("r").mapInArrow(merge_blobs, "r int, keys binary, counts binary, n long"))
-        if old is not None:
-            forget(old)
-        if order <= 2 or (merged.agg(F.sum("n")).first()[0] or 0) <= max_nodes:
-            break
-        rows, old = merged.select("r", "keys", "counts").mapInArrow(shortened(order), "r int, keys binary, counts binary"), merged
-        order -= 1
-    got = merged.select("keys", "counts").collect()  # max_nodes entries at most
-    forget(merged)
-    keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x[0], np.uint64) for x in got)])
-    counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x[1], np.int64) for x in got)])
-    return Trie(*summed(keys, counts), order)
+def blob_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Merged blobs to one row an entry."""
+    for batch in batches:
+        for k, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(k, np.int64)), pa.array(np.frombuffer(c, np.int64))], ["k", "c"])
+
+
+#: A key's order stands above its bytes, and above that whether it is a context (an escape factor) or a symbol in one.
+ORDER_BITS, CONTEXT = 56, 1 << 60
+
+
+def in_order(k: Column, order: int) -> Column:
+    """The last bytes of a key that make it one of ``order``."""
+    return k.bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1))
+
+
+def fit_model(texts: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
+    """The model of all rows of ``texts`` (t: UTF-8): k and v, the logarithm of a probability or an escape factor; and k, c, v of the longest order."""
+    if not 0 <= order <= 6:
+        raise ValueError("an order from 0 to 6 is asked for")
+    rows = texts.select("t").mapInArrow(blob_rows(order), "r int, keys binary, counts binary")
+    # one row a range and task
+    merged = rows.repartition("r").sortWithinPartitions("r").mapInArrow(merge_blobs, "r int, keys binary, counts binary, n long")
+    levels = {order: written(merged.mapInArrow(blob_entries, "k long, c long"))}
+    for j in range(order - 1, -1, -1):
+        levels[j] = written(levels[j + 1].groupBy(in_order(F.col("k"), j).alias("k")).agg(F.sum("c").alias("c")))
+    shorter, tables = None, []
+    for j in range(order + 1):
+        # a context has 256 symbols at most
+        context = Window.partitionBy("context")
+        own = levels[j].withColumn("context", F.shiftright("k", 8)).withColumns({"n": F.sum("c").over(context), "q": F.count(F.lit(1)).over(context)})
+        own = own.withColumn("p", (2 * F.col("c") - 1) / (2 * F.col("n")))
+        own = written(own.withColumn("below", F.lit(1 / 256)) if shorter is None else own.join(shorter, in_order(F.col("k"), j - 1) == F.col("short")))
+        # every symbol seen (order 0 only): there is nothing to escape to
+        left = F.greatest(1 - F.sum("below"), F.lit(1e-12))
+        escape = own.groupBy("context").agg(F.log10(F.first("q") / (2 * F.first("n")) / left).cast("float").alias("v"))
+        tables.append(own.select(F.col("k") + F.lit(j << ORDER_BITS), "c", F.log10("p").cast("float").alias("v")))
+        tables.append(escape.select(F.col("context") + F.lit((j << ORDER_BITS) + CONTEXT), F.lit(0).cast("long"), "v"))
+        shorter = own.select(F.col("k").alias("short"), F.col("p").alias("below"))
+        levels[j] = (levels[j], own)
+    made = tables[0].toDF("k", "c", "v")
+    for t in tables[1:]:
+        made = made.unionByName(t.toDF("k", "c", "v"))
+    made = written(made)
+    for pair in levels.values():
+        for x in pair:
+            forget(x)
+    longest = made.where(F.col("k").between(F.lit(order << ORDER_BITS), F.lit(((order + 1) << ORDER_BITS) - 1)))
+    return made.select("k", "v"), longest.select(F.col("k") - F.lit(order << ORDER_BITS), "c", "v").toDF("k", "c", "v")
+
+
+def frequent_entries(longest: DataFrame, order: int, most: int = MOST_ENTRIES) -> Entries:
+    """The entries whose count is so high that at most ``most`` have it: 12 bytes each."""
+    got = longest.where(F.col("c") >= frequent_from(longest.select(F.col("c").alias("n")), most)).select("k", "v").toArrow()
+    k = got["k"].to_numpy().view(np.uint64)
+    by = np.argsort(k)
+    return Entries(k[by], got["v"].to_numpy()[by], order)
+
+
+def looked_up(keys: DataFrame, model: DataFrame, order: int) -> DataFrame:
+    """k and v, the logarithm of the probability, of different keys ``k`` of the longest order, found at the longest order that has them."""
+    k = F.col("k")
+    asked = [F.struct(F.lit(j).alias("j"), (in_order(k, j) + F.lit(j << ORDER_BITS)).alias("at")) for j in range(order + 1)]
+    # the context of order j is the key of order j - 1 one byte further back
+    asked += [F.struct(F.lit(j).alias("j"), ((in_order(F.shiftright(k, 8), j - 1) if j else F.lit(0)) + F.lit((j << ORDER_BITS) + CONTEXT)).alias("at")) for j in range(order + 1)]
+    rows = keys.select("k", F.explode(F.array(*asked)).alias("x")).select("k", "x.j", "x.at")
+    got = rows.join(model.select(F.col("k").alias("at"), "v"), "at")
+    symbol = F.col("at") < F.lit(CONTEXT)
+    one = got.groupBy("k").agg(F.max(F.when(symbol, F.struct("j", "v"))).alias("best"), F.collect_list(F.when(~symbol, F.struct("j", "v"))).alias("escapes"))
+    best = F.coalesce(F.col("best.j"), F.lit(-1))
+    value = F.coalesce(F.col("best.v").cast("double"), F.lit(-math.log10(256)))
+    total = F.aggregate(F.array_sort(F.filter("escapes", lambda x: x.j > best)), value, lambda a, x: a + x.v.cast("double"))
+    # without any training row the model has no entries
+    return keys.join(one.select(k.alias("own"), total.alias("v")), k == F.col("own"), "left").select("k", F.coalesce("v", F.lit(-math.log10(256))).alias("v"))
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,14 +301,14 @@ def frequent_from(words: DataFrame, most: int) -> int:
     return least
 
 
-def score_rows(trie, frequent):
-    """(doc_id, held_out, t) to one row a text: what the broadcast tables tell, and the words they do not have."""
+def score_rows(entries, frequent):
+    """(doc_id, held_out, t) to one row a text: what the broadcast tables tell, and the words and keys they do not have."""
     fields = pa.list_(pa.struct([("w", pa.binary()), ("k", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        model, get = trie.value.ready(), frequent.value.get
+        model, get = entries.value.ready(), frequent.value.get
         row = TaskContext.get().partitionId() << 40
         end = get(END_WORD, 0.0)
         for batch in batches:
@@ -310,14 +325,15 @@ def score_rows(trie, frequent):
                     known.append(len(found) + (end > 0))
                     total.append(math.fsum(found) + end)
                     rest.append([{"w": w, "k": k} for w, k in lost.items()])
-                cols = [pa.array(np.arange(row, row + len(texts))), part.column(0), part.column(1), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(total, pa.float64()), pa.array(model.scores(texts)), pa.array(rest, fields)]
+                score, keys = model.scores(texts)
+                cols = [pa.array(np.arange(row, row + len(texts))), part.column(0), part.column(1), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(total, pa.float64()), pa.array(score), pa.array(rest, fields), keys]
                 row += len(texts)
-                yield pa.RecordBatch.from_arrays(cols, ["row", "doc_id", "held_out", "n_tokens", "known", "total", "score", "rest"])
+                yield pa.RecordBatch.from_arrays(cols, ["row", "doc_id", "held_out", "n_tokens", "known", "total", "score", "rest", "keys"])
 
     return run
 
 
-def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 7, max_order: int = MAX_ORDER, max_nodes: int = MAX_NODES, frequent_words: int = FREQUENT) -> DataFrame:
+def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 7, order: int = ORDER, most_entries: int = MOST_ENTRIES, frequent_words: int = FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (PPM, log10) of every row.
 
     The models learn from all rows that are not held out. Null text is empty: one token, its end. A null id is not held out.
@@ -330,17 +346,24 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", folds
     t = F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")).cast("binary").alias("t")
     docs = df.select(F.col(quoted(doc_id)).alias("doc_id"), held_out(doc_id, folds).alias("held_out"), t)
     training = docs.where("not held_out").select("t")
-    trie = spark.sparkContext.broadcast(fit_trie(training, max_order, max_nodes))
+    model, longest = fit_model(training, order)
+    entries = spark.sparkContext.broadcast(frequent_entries(longest, order, most_entries))
     words = written(training.mapInArrow(count_words, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")))
     all_n, all_v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = words.where(F.col("n") >= frequent_from(words, frequent_words)).collect()  # frequent_words rows at most
+    # frequent_words rows of LONGEST_WORD bytes at most
+    top = words.where((F.col("n") >= frequent_from(words, frequent_words)) & (F.octet_length("w") <= LONGEST_WORD)).collect()
     top += words.where(F.col("w") == F.lit(END_WORD)).collect()  # the end of a text is looked up here only
     frequent = spark.sparkContext.broadcast({bytes(r.w): math.log10(r.n + 1) for r in top})
-    scored = written(docs.mapInArrow(score_rows(trie, frequent), f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, total double, score double, rest array<struct<w:binary,k:int>>"))
+    made = docs.mapInArrow(score_rows(entries, frequent), f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, total double, score double, rest array<struct<w:binary,k:int>>, keys array<struct<k:long,n:int>>")
+    scored = written(made)
     rest = scored.select("row", F.explode("rest").alias("x")).select("row", "x.w", "x.k")
     more = rest.join(words, "w").groupBy("row").agg(F.sum("k").alias("more_known"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("more"))
+    lost = scored.select("row", F.explode("keys").alias("x")).select("row", "x.k", "x.n")
+    found = written(looked_up(lost.select("k").distinct(), model, order))
+    symbols = lost.join(found, "k").groupBy(F.col("row").alias("symbol_row")).agg(F.sum(F.col("n") * F.col("v")).alias("symbols"))
     share = math.log10(all_n + all_v + 1)
     base: Column = F.col("total") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(share)
-    return scored.drop("rest").join(more, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(all_n).cast("long").alias("train_tokens"), base.alias("base_score"), "score"
+    out = scored.drop("rest", "keys").join(more, "row", "left").join(symbols, F.col("row") == F.col("symbol_row"), "left")
+    return out.select(
+        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(all_n).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("score") + F.coalesce("symbols", F.lit(0.0))).alias("score")
     )
