@@ -102,18 +102,80 @@ def test_licences(spark, odd_docs, odd_rows, no_docs):
 def test_automaton_finds_every_maximal_match():
     r = random.Random(6)
     templates = [[r.randint(0, 3) for _ in range(12)] for _ in range(4)]
-    a = license_scan.Automaton(templates)
-    inside = lambda s: any(s == t[i : i + len(s)] for t in templates for i in range(len(t)))
+    a = license_scan.Automaton(templates, 2)
+    held = lambda x: any(x == t[i : i + len(x)] for t in templates for i in range(len(t)))
+    for _ in range(60):
+        s = [r.randint(-1, 3) for _ in range(40)]
+        longest = [max((n for n in range(1, len(s) - i + 1) if held(s[i : i + n])), default=0) for i in range(len(s))]
+        # no match of an earlier word reaches as far
+        want = {(i, n) for i, n in enumerate(longest) if n >= 2 and (not i or longest[i - 1] - 1 < n)}
+        got = a.matches(s)
+        assert {(i, n) for i, n, _ in got} == want
+        for m in got:
+            places = a.places(*m)
+            whole = {(k, p) for k, t in enumerate(templates) for p in range(len(t)) if t[p : p + m[1]] == s[m[0] : m[0] + m[1]]}
+            assert {(k, p) for k, _, n, p in places if n == m[1]} == whole
+            for k, t in enumerate(templates):  # else the longest end of the match that the template has
+                ends = [n for n in range(2, m[1] + 1) if any(t[p : p + n] == s[m[0] + m[1] - n : m[0] + m[1]] for p in range(len(t)))]
+                assert {n for j, _, n, _ in places if j == k} == ({max(ends)} if ends else set())
+
+
+def plain_best(matches, gap):
+    """The largest number of words that a chain from each first match covers, by trying all."""
+    best = {}
+
+    def go(root, covered, last):
+        best[root] = max(best.get(root, 0), covered)
+        a, m, p = last
+        for first, n, place in matches:
+            over = max(0, a + m - first)
+            if (first + n, first, place) > (a + m, a, p) and a < first and over < n and a + m >= first - gap and p + m <= place + over:
+                go(root, covered + n - over, (first, n, place))
+
+    for x in matches:
+        go(x, x[1], x)
+    return max(best.values())
+
+
+def test_chains_cover_most():
+    r = random.Random(12)
     for _ in range(200):
-        s = [r.randint(-1, 4) for _ in range(30)]
-        want = set()
-        for i in range(30):
-            for n in range(3, 31 - i):
-                if inside(s[i : i + n]) and not (i + n < 30 and inside(s[i : i + n + 1])) and not (i and inside(s[i - 1 : i + n])):
-                    want.add((i, n))
-        got = a.matches(s, 3)
-        assert {(i, n) for i, n, _, _ in got} == want
-        assert all(templates[k][p : p + n] == s[i : i + n] for i, n, k, p in got)
+        ends = sorted(r.sample(range(3, 60), r.randint(1, 7)))
+        matches = [(e - n, n, r.randint(0, 20)) for e in ends for n in [r.randint(2, min(e, 8))]]
+        chains = license_scan.chained(matches, 6)
+        assert max(sum(n for _, n, _ in c) for c in chains) == plain_best(matches, 6)
+        for c in chains:
+            assert all(a + n <= b and p + n <= q and b - a - n <= 6 for (a, n, p), (b, _, q) in zip(c, c[1:], strict=False))
+
+
+def test_licence_labels(spark):
+    told = {
+        "This work is licensed under the GNU General Public License version 2": "gpl,gpl-2.0",
+        "It is licensed under the GNU General Public License, version 3.": "gpl,gpl-3.0",
+        "licensed under the GNU General Public License version 4": "gpl",
+        "the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License": "lgpl-2.1",
+        "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc-4.0",
+        "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa-4.0",
+        "Licensed under CC BY 3.0.": "cc-by,cc-by-3.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa-4.0",
+        "This work is licensed under a Creative Commons licence": "",
+        "Licensed under the Apache License, Version 2.0": "apache,apache-2.0",
+        "the software is provided as is": "",
+        license_scan.WORDINGS["mit"].split("|")[1].replace("sublicense", "sub-license").replace("so subject", "so, always, subject"): "mit",
+        license_scan.WORDINGS["isc"].upper(): "isc",
+        "nothing of the kind": "",
+    }
+    rows = [(i, t) for i, t in enumerate(told)]
+    got = license_scan.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {t: next(g.labels for g in got if g.doc_id == i) for i, t in rows} == told
+    spans = license_scan.Scanner({}, license_scan.usual_templates()).scan(b"x y " + b" and ".join([b"licensed under cc by 4.0"] * 3))[2]
+    assert [(s, e) for _, s, e, _, _ in spans] == [(2, 8), (9, 15), (16, 22)]
+
+
+def test_one_word_phrases_count(spark):
+    df = spark.createDataFrame([(1, "free as in beer, free"), (2, "no")], "doc_id long, text string")
+    got = license_scan.scan_licences(df, base={"free": "f"}).orderBy("doc_id").collect()
+    assert [(r.n_base, r.first_word, r.last_word) for r in got] == [(2, 0, 4), (0, None, None)]
 
 
 def test_media(odd_docs, odd_rows, no_docs):
