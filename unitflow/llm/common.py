@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -26,6 +27,21 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_ROWS)
 
 
+def frugal(run: Callable) -> Callable:
+    """``run`` over the batches of a task; afterwards the worker, which goes on to other tasks, gives free memory back to the system."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return task
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -61,7 +77,7 @@ def map_text(df: DataFrame, keep: list[str], text: str, fn: Callable[[pa.RecordB
                 texts = part.column(len(names)).to_pylist()
                 yield fn(part, texts, state) if start else fn(part, texts)
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(frugal(run), schema)
 
 
 def quoted(name: str) -> str:

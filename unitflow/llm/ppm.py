@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import forget, held_out, quoted, small_batches, written
+from .common import forget, frugal, held_out, quoted, small_batches, written
 from .suffix_dedup import texts_in
 
 ORDER, MOST_ENTRIES, FREQUENT, LONGEST_WORD, RANGES, PIECE = 5, 2_000_000, 200_000, 48, 48, 1_000_000
@@ -218,10 +218,10 @@ def fit_model(texts: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFram
     """The model of all rows of ``texts`` (t: UTF-8): k and v, the logarithm of a probability or an escape factor; and k, c, v of the longest order."""
     if not 0 <= order <= 6:
         raise ValueError("an order from 0 to 6 is asked for")
-    rows = texts.select("t").mapInArrow(blob_rows(order), "r int, keys binary, counts binary")
+    rows = texts.select("t").mapInArrow(frugal(blob_rows(order)), "r int, keys binary, counts binary")
     # one row a range and task
-    merged = rows.repartition("r").sortWithinPartitions("r").mapInArrow(merge_blobs, "r int, keys binary, counts binary, n long")
-    levels = {order: written(merged.mapInArrow(blob_entries, "k long, c long"))}
+    merged = rows.repartition("r").sortWithinPartitions("r").mapInArrow(frugal(merge_blobs), "r int, keys binary, counts binary, n long")
+    levels = {order: written(merged.mapInArrow(frugal(blob_entries), "k long, c long"))}
     for j in range(order - 1, -1, -1):
         levels[j] = written(levels[j + 1].groupBy(in_order(F.col("k"), j).alias("k")).agg(F.sum("c").alias("c")))
     shorter, tables = None, []
@@ -348,13 +348,13 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", folds
     training = docs.where("not held_out").select("t")
     model, longest = fit_model(training, order)
     entries = spark.sparkContext.broadcast(frequent_entries(longest, order, most_entries))
-    words = written(training.mapInArrow(count_words, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")))
+    words = written(training.mapInArrow(frugal(count_words), "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")))
     all_n, all_v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     # frequent_words rows of LONGEST_WORD bytes at most
     top = words.where((F.col("n") >= frequent_from(words, frequent_words)) & (F.octet_length("w") <= LONGEST_WORD)).collect()
     top += words.where(F.col("w") == F.lit(END_WORD)).collect()  # the end of a text is looked up here only
     frequent = spark.sparkContext.broadcast({bytes(r.w): math.log10(r.n + 1) for r in top})
-    made = docs.mapInArrow(score_rows(entries, frequent), f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, total double, score double, rest array<struct<w:binary,k:int>>, keys array<struct<k:long,n:int>>")
+    made = docs.mapInArrow(frugal(score_rows(entries, frequent)), f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, total double, score double, rest array<struct<w:binary,k:int>>, keys array<struct<k:long,n:int>>")
     scored = written(made)
     rest = scored.select("row", F.explode("rest").alias("x")).select("row", "x.w", "x.k")
     more = rest.join(words, "w").groupBy("row").agg(F.sum("k").alias("more_known"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("more"))

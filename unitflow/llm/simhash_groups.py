@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, hash_sample, map_text, quoted, written
+from .common import forget, frugal, hash_sample, map_text, quoted, written
 from .components import components
 from .simhash import SEED, SPREAD, grouped_order, shingles
 
@@ -135,20 +135,22 @@ def unpacked(fps: list[bytes]) -> np.ndarray:
     return np.unpackbits(np.frombuffer(b"".join(fps), np.uint8).reshape(len(fps), -1), axis=1, bitorder="little")
 
 
-def grouped(batches: Iterator[pa.RecordBatch], rows: int = 4000) -> Iterator[pa.Table]:
-    """Tables of whole groups of the first column, from batches sorted by it."""
-    kept: pa.Table | None = None
-    for batch in itertools.chain(batches, [None]):
-        if batch is not None:
-            now = pa.Table.from_batches([batch])
-            now = now if kept is None else pa.concat_tables([kept, now]).combine_chunks()
-            key = now.column(0).to_numpy()
-            cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            now, kept = now.slice(0, cut), now.slice(cut)
-        else:
-            now, kept = kept, None
-        if now is not None and now.num_rows:
-            yield now
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole groups of the first column, from batches sorted by it. A group that spans many batches is put together once."""
+    kept: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = pa.Table.from_batches([batch])
+        key = now.column(0).to_numpy()
+        cut = int(np.searchsorted(key, key[-1]))
+        ended = kept and kept[-1].column(0)[0].as_py() != key[0]
+        if cut or ended:
+            yield pa.concat_tables([*kept, now.slice(0, cut)]).combine_chunks()
+            kept = []
+        kept.append(now.slice(cut))
+    if kept:
+        yield pa.concat_tables(kept).combine_chunks()
 
 
 def searched(n: int, near) -> list[tuple[int, int]]:
@@ -292,16 +294,16 @@ def decided(docs: DataFrame, similarity: float, words: int, recall: float) -> Da
     if n > 1:
         sample = unpacked([bytes(r[0]) for r in hash_sample(long, "node", SAMPLE_ROWS, n).select("fp").collect()])
         parts = parts_of(sample, n, similarity, recall)
-        probes = probes.unionByName(long.select("node", "fp", "check").mapInArrow(probe_rows(parts), "key long, node long, check long"))
-    close = written(probes.repartition("key").sortWithinPartitions("key").mapInArrow(close_rows, "key long, node long"))
+        probes = probes.unionByName(long.select("node", "fp", "check").mapInArrow(frugal(probe_rows(parts)), "key long, node long, check long"))
+    close = written(probes.repartition("key").sortWithinPartitions("key").mapInArrow(frugal(close_rows), "key long, node long"))
     held = close.join(nodes.select("node", "fp", "size"), "node").select("key", "node", "fp", "size")
-    teams = written(held.repartition("key").sortWithinPartitions("key").mapInArrow(proposed_rows(similarity), "team long, node long").distinct())
+    teams = written(held.repartition("key").sortWithinPartitions("key").mapInArrow(frugal(proposed_rows(similarity)), "team long, node long").distinct())
     # the text of each proposed node's first row gives its set again
     asked = nodes.join(teams.select("node").distinct(), "node").select("node", F.col("least.id").alias("least_id"), F.col("least.th").alias("least_th"))
     texts = docs.join(asked.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("least_id")) & (F.col("th") == F.col("least_th"))).select("node", "t")
     made = written(map_text(texts, ["node"], "t", sets, "node long, set binary").dropDuplicates(["node"]))
     pairs = teams.join(made, "node").select("team", "node", "set")
-    links = written(pairs.repartition("team").sortWithinPartitions("team").mapInArrow(linked_rows(similarity), "a long, b long"))
+    links = written(pairs.repartition("team").sortWithinPartitions("team").mapInArrow(frugal(linked_rows(similarity)), "a long, b long"))
     roots = nodes.join(components(links), "node", "left").select(F.coalesce("root", "node").alias("root"), "least")
     kept = roots.groupBy("root").agg(F.min("least").alias("least")).select("least.id", "least.th")
     kept = written(kept)

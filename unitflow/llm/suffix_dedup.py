@@ -37,13 +37,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import forget, hash_sample, quoted, small_batches, written
+from .common import forget, frugal, hash_sample, quoted, small_batches, written
 
 LENGTH, GRAM = 100, 24
 RUN = LENGTH - GRAM + 1
-GROUP_ROWS, SAMPLE_ROWS, SLICE, BUCKET_ROWS = 64, 1500, 1_000_000, 4000
+GROUP_ROWS, SAMPLE_ROWS, SLICE, BUCKET_ROWS = 64, 1500, 300_000, 4000
 #: Bits below an anchor's place that hold its offset in the run and, LOW bits each, the run's windows less one.
 LOW = 7
+DEALT = "bucket int, k long, x long, lo int, hi int, d long, th long, a long, off int, data binary"
 REFINED = "d long, th long, a long, end long, k long, x long, lo int, hi int, off int, data binary"
 _random = np.random.default_rng(20240229)
 CODE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -435,18 +436,24 @@ def group_slices(g: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
         at = stop
 
 
-def run_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(d, th, t, reps) to one suffix a rep with the bytes of its run."""
-    for batch in batches:
-        out: list[list] = [[], [], [], [], [], [], []]
-        for d, th, t, reps in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            for r in reps or ():
-                at, off, n = unpacked(r["a"])
-                for k, v in enumerate((r["g"], r["c"], d, th, at, off, t[at - off : at - off + n - 1 + LENGTH])):
-                    out[k].append(v)
-        n = len(out[0])
-        cols = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array([0] * n, pa.int32()), pa.array([RUN - 1] * n, pa.int32()), *(pa.array(x, pa.int64()) for x in out[2:5]), pa.array(out[5], pa.int32()), pa.array(out[6], pa.binary())]
-        yield pa.RecordBatch.from_arrays(cols, ["k", "x", "lo", "hi", "d", "th", "a", "off", "data"])
+def run_bytes(splitters: Splitters):
+    """(d, th, t, reps) to one suffix a rep with its bucket and the bytes of its run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], [], [], [], []]
+            for d, th, t, reps in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                for r in reps or ():
+                    at, off, n = unpacked(r["a"])
+                    for k, v in enumerate((r["g"], r["c"], d, th, at, off, t[at - off : at - off + n - 1 + LENGTH])):
+                        out[k].append(v)
+            n = len(out[0])
+            k, x = (np.array(o, np.int64) for o in out[:2])
+            bucket = splitters.bucket(k.view(np.uint64), x.view(np.uint64))
+            cols = [pa.array(bucket), pa.array(k), pa.array(x), pa.array(np.zeros(n, np.int32)), pa.array(np.full(n, RUN - 1, np.int32)), *(pa.array(c, pa.int64()) for c in out[2:5]), pa.array(out[5], pa.int32()), pa.array(out[6], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, ["bucket", "k", "x", "lo", "hi", "d", "th", "a", "off", "data"])
+
+    return run
 
 
 def sampled_splitters(docs: DataFrame, buckets: int) -> Splitters:
@@ -483,20 +490,20 @@ def spans_of(docs: DataFrame, group_rows: int) -> DataFrame:
     small_batches(spark)
     n = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     splitters = sampled_splitters(docs, 4 * n)
-    anchors = docs.mapInArrow(anchor_rows(splitters), "bucket int, g long, c long, d long, th long, a long")
+    anchors = docs.mapInArrow(frugal(anchor_rows(splitters)), "bucket int, g long, c long, d long, th long, a long")
     by_class = anchors.repartition("bucket").sortWithinPartitions("g", "c", "d", "th", "a").drop("bucket")
-    marks = written(by_class.mapInArrow(class_firsts(splitters), "g long, c long, d long, th long, a long"))
+    marks = written(by_class.mapInArrow(frugal(class_firsts(splitters)), "g long, c long, d long, th long, a long"))
     tidy(spark)
     used, spans = [marks], [marks.where("g is null").select("d", "th", F.col("a").alias("start"), F.col("c").alias("end"))]
     firsts = marks.where("g is not null")
     lists = firsts.groupBy("d", "th").agg(F.collect_list(F.struct("g", "c", "a")).alias("reps"))
-    suffixes = docs.join(lists.hint("shuffle_hash"), ["d", "th"]).select("d", "th", "t", "reps").mapInArrow(run_bytes, "k long, x long, lo int, hi int, d long, th long, a long, off int, data binary")
-    keys, total = firsts.select(F.col("g").alias("k"), F.col("c").alias("x")), firsts.count()
+    texts = docs.join(lists.hint("shuffle_hash"), ["d", "th"]).select("d", "th", "t", "reps")
+    keys, total, suffixes = firsts.select(F.col("g").alias("k"), F.col("c").alias("x")), firsts.count(), None
     while total:
         cuts = suffix_splitters(keys, total, 4 * n)
-        by_key = suffixes.mapInArrow(dealt(cuts), "bucket int, k long, x long, lo int, hi int, d long, th long, a long, off int, data binary")
-        by_key = by_key.repartition("bucket").sortWithinPartitions("k", "x", "d", "th", "a").drop("bucket")
-        made = written(by_key.mapInArrow(refine(cuts, group_rows), REFINED))
+        # one Python worker a task: the first round's suffixes are cut from the texts and dealt at once
+        by_key = (texts.mapInArrow(frugal(run_bytes(cuts)), DEALT) if suffixes is None else suffixes.mapInArrow(frugal(dealt(cuts)), DEALT)).repartition("bucket")
+        made = written(by_key.sortWithinPartitions("k", "x", "d", "th", "a").drop("bucket").mapInArrow(frugal(refine(cuts, group_rows)), REFINED))
         tidy(spark)
         used.append(made)
         spans.append(made.where("k is null").select("d", "th", F.col("a").alias("start"), "end"))
@@ -554,7 +561,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", gr
                 batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.int64()), pa.array([hashlib.sha256(m[0]).hexdigest() for m in made], pa.string()),
             ], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.mapInArrow(frugal(run), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", chars: str | None = "n_chars", group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -568,7 +575,7 @@ def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", c
             made = [kept_bytes(t, s)[0].decode("utf-8", "ignore") for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], ["row", "left"])
 
-    out = rows.mapInArrow(run, schema)
+    out = rows.mapInArrow(frugal(run), schema)
 
     def column(c: str) -> Column:
         own = F.col("row")[c]

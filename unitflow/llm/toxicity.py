@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_of, forget, hash_sample, held_out, map_text, quoted, small_batches, written
+from .common import bucket_of, forget, frugal, hash_sample, held_out, map_text, quoted, small_batches, written
 
 #: Seeds of the word classes.
 INSULTS = ("idiot", "moron", "scum", "trash", "loser", "worthless", "pathetic", "disgusting", "stupid", "clown")
@@ -306,4 +306,4 @@ def keep_clean(df: DataFrame, grammar: Grammar, text: str = "text", threshold: f
             keep = [grammar.score(grammar.features(t or "")) < threshold for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return df.mapInArrow(run, fields)
+    return df.mapInArrow(frugal(run), fields)
