@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch that are turned into Python objects at a time, and the bytes of text after which a slice ends.
-SLICE_ROWS, SLICE_BYTES = 2048, 16_000_000
+SLICE_ROWS, SLICE_BYTES = 1024, 2_000_000
 
 
+#: Bytes of batches after which a worker gives memory back.
+RELEASE_BYTES = 8_000_000
 #: Rows of a batch between the JVM and a Python worker; the default would hold ten times as much text in both.
 BATCH_ROWS = 1000
 
@@ -27,17 +29,31 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_ROWS)
 
 
+def release() -> None:
+    """Give free memory back to the system; other tasks and the JVM share the executor's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def frugal(run: Callable) -> Callable:
-    """``run`` over the batches of a task; afterwards the worker, which goes on to other tasks, gives free memory back to the system."""
+    """``run`` over the batches of a task, with release() after each RELEASE_BYTES of them and at the end, as the worker goes on to other tasks."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def watched() -> Iterator[pa.RecordBatch]:
+            size = 0
+            for batch in batches:
+                yield batch
+                size += batch.nbytes
+                if size > RELEASE_BYTES:
+                    size = 0
+                    release()
+
         try:
-            yield from run(batches)
+            yield from run(watched())
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            release()
 
     return task
 
