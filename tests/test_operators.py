@@ -133,10 +133,55 @@ def test_suppression_never_leaves_one_hidden_cell(spark, values):
 
 def test_egress(spark):
     df = spark.createDataFrame([("CLI-0123456789AB", "45", "x")], "client_id string, service_code string, mystery string")
-    assert privacy.egress_findings(df, "t") == [("t", "mystery", "undeclared")]
+    assert privacy.egress_findings(df, "utilization") == [("utilization", "mystery", "undeclared")]
+    assert len(privacy.egress_findings(df, "no_such_table")) == 3
     raw = spark.createDataFrame([("CLI-00001", "a@b.org")], "client_id string, service_code string")
-    assert {f[2] for f in privacy.egress_findings(raw, "t")} == {"unpseudonymised_identifier", "content_match:email"}
-    assert privacy.egress_findings(privacy.deidentified(raw.drop("service_code"), b"k"), "t") == []
+    assert {f[2] for f in privacy.egress_findings(raw, "utilization")} == {"unpseudonymised_identifier", "content_match:email"}
+    assert privacy.egress_findings(privacy.deidentified(raw.drop("service_code"), b"k", "utilization"), "utilization") == []
+    both = checks.egress_checks([("t", "c", "undeclared"), ("t", "d", "content_match:email")])
+    assert [(c.name, c.passed, c.acknowledgeable) for c in both] == [("phi_egress", False, False), ("phi_content_scan", False, True)]
+
+
+def test_samples_and_published_text_show_no_identifier(spark, tmp_path):
+    shown = privacy.redact_records([{"client_id": "CLI-00001", "note": "see SES-0000012", "n": 3, "auth_id": None}])[0]
+    assert shown["client_id"].startswith("CLI-") and shown["client_id"] != "CLI-00001"
+    assert (shown["note"], shown["n"], shown["auth_id"]) == ("see [redacted]", 3, None)
+    (tmp_path / "a.txt").write_text("CLI-00001 and PRV-0007\nCLI-00002")
+    assert sorted(x[1:] for x in privacy.published_findings(spark, [str(tmp_path)])) == [("raw_client_id", 2), ("raw_provider_id", 1)]
+    df = spark.createDataFrame([("a CLI-00001 b",)], "t string").select(privacy.redacted(F.col("t")).alias("t"))
+    assert df.first().t == "a [redacted] b"
+
+
+@pytest.mark.parametrize(("state", "severity", "passed"), [("configured", "BLOCK", True), ("development", "BLOCK", False), ("ephemeral", "WARN", False)])
+def test_salt_states(state, severity, passed):
+    c = checks.salt_check(state)
+    assert (c.severity, c.passed) == (severity, passed)
+    assert not checks.gate([c], {c.name: "we accept a salt like this"}).published or severity == "WARN" or passed
+
+
+def test_findings_show_their_first_rows(spark):
+    facts = spark.createDataFrame([(f"SES-{i:07d}", None if i % 2 else i) for i in range(20)], "session_id string, center_key int")
+    c = checks.none_of("orphan_foreign_keys", checks.BLOCK, checks.without_member(facts, ["center_key"]), ["session_id"], ["session_id", "center_key"])
+    assert (c.passed, c.observed, len(c.sample)) == (False, 10, 5)
+    assert all(not r["session_id"].startswith("SES-000") for r in c.sample)
+    assert "orphan_foreign_keys" in checks.report([c], checks.gate([c], {}))
+
+
+def test_payers_with_two_contracts_make_no_second_row(spark):
+    u = spark.createDataFrame([("A1", "c1", "p1"), ("A2", "c2", None)], "auth_id string, client_id string, payer_id string")
+    payers = spark.createDataFrame([("p1", "One", "value_based"), ("p1", "One", "fee_for_service")], "payer_id string, payer_name string, contract_type string")
+    clients = spark.createDataFrame([("c1", "h1", False), ("c1", "h2", True)], "client_id string, home_center_id string, is_current boolean")
+    centers = spark.createDataFrame([("h2", "Two")], "center_id string, center_name string")
+    rows = analytics.with_payer_and_home(u, payers, clients, centers).orderBy("auth_id").collect()
+    assert [(r.auth_id, r.contract_type, r.center_name) for r in rows] == [("A1", "fee_for_service", "Two"), ("A2", None, None)]
+
+
+def test_reports_of_changes():
+    assert "no earlier build" in changes.diff_report(None)
+    d = {"t": {"added": 1, "removed": 0, "changed": 2, "unchanged": 3, "changed_a": 2, "changed_b": 0}}
+    text = changes.diff_report(d, ("x", "y"))
+    assert "3 rows differ" in text and "a (2)" in text and "The rules changed" in text
+    assert "The rules changed" not in changes.diff_report(d, (None, "y"))
 
 
 def test_diff_counts_nulls_as_equal(spark):

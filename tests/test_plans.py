@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from unitflow.operators import changes
 from unitflow.plans import orchestration as orc
-from unitflow.plans import publish, store
+from unitflow.plans import files, metrics, pipeline, publish, store
 from unitflow.queries import util
 from unitflow.sources import adaptors, api, lake
 from unitflow.streaming import sessions as stream
@@ -21,12 +21,14 @@ def test_snapshots_move_the_pointer_only_when_accepted(spark, tmp_path):
     assert not s.build("r2", {"t": df.withColumn("v", F.lit("b"))}, lambda t: t["t"].where("v = 'a'").count() == 1)
     assert s.pointer() == "r1"
     assert s.read(spark, "t").first().v == "a"
-    assert (tmp_path / "rejected" / "r2" / "t").exists()
+    assert s.tables("r2", "rejected") == {"t": "data/r2/t"}
+    assert s.tables("r2") == {}
     assert s.build("r3", {"t": df.withColumn("v", F.lit("c"))})
     s.rollback()
     assert s.pointer() == "r1"
     with s.lock(), pytest.raises(store.Busy):
         s.build("r4", {"t": df})
+    assert s.build("r5", {"t": df})
 
 
 def test_incremental_equals_full(spark, tmp_path):
@@ -46,6 +48,45 @@ def test_incremental_equals_full(spark, tmp_path):
     assert changes.fingerprint(s.read(spark, "t")).first() == changes.fingerprint(day2).first()
 
 
+def test_incremental_loads_leave_other_tables(spark, tmp_path):
+    s = store.Store(tmp_path)
+    a = spark.createDataFrame([(1, date(2026, 1, 1), 1.0)], "id int, d date, v double")
+    b = spark.createDataFrame([(7, date(2026, 1, 2), 7.0)], "id int, d date, v double")
+    assert s.build("r0", {"a": a, "b": b})
+    store.load_incrementally(s, spark, "ehr", "a", a.withColumn("v", F.lit(5.0)), "d", ["id"], 3, "r1")
+    store.load_incrementally(s, spark, "ehr", "b", b.unionByName(a), "d", ["id"], 3, "r2")
+    assert s.read(spark, "a").first().v == 5.0
+    assert sorted(r.id for r in s.read(spark, "b").collect()) == [1, 7]
+    s.rollback()
+    assert [r.id for r in s.read(spark, "b").collect()] == [7]
+    with pytest.raises(KeyError, match="no table c"):
+        s.read(spark, "c")
+
+
+def test_bad_exports_never_replace_good_ones(spark, tmp_path):
+    f = files.Files(spark, str(tmp_path))
+    f.make("exports.new")
+    f.write("exports.new/x", "one")
+    assert pipeline.swap_exports(f, lambda: []) == []
+    f.make("exports.new")
+    f.write("exports.new/x", "two")
+    assert pipeline.swap_exports(f, lambda: ["wrong"]) == ["wrong"]
+    assert f.read("exports/x") == "one"
+    assert not f.exists("exports.new")
+    f.make("exports.new")
+    f.write("exports.new/x", "three")
+    pipeline.swap_exports(f, lambda: [])
+    assert f.read("exports/x") == "three"
+    assert f.names() == ["exports"]
+
+
+def test_report_contract():
+    text = "Units =\n  SUM ( fact[units_delivered] ) // not fact[minutes]\n\nHours =\n  [Units] / 4\n"
+    assert set(metrics.measures(text)) == {"Units", "Hours"}
+    wanted = {"Units": ("units_delivered", "minutes"), "Hours": ("units_delivered",), "Gone": ("x",)}
+    assert metrics.contract(text, wanted) == {"Units": ["minutes"], "Hours": [], "Gone": None}
+
+
 def test_landing_and_declared_schemas(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
@@ -119,7 +160,10 @@ def test_published_headline_is_checked(spark, small, tmp_path):
     path.write_text("{}")
     assert publish.verify_payload(path, u)
     assert all(r["client_id"].startswith("CLI-") and len(r["client_id"]) == 16 for r in p["at_risk"])
-    assert "Weekly digest" in publish.digest(u)
+    text = publish.digest(u, b"k")
+    assert "Weekly digest" in text
+    assert "more |" in text
+    assert "</" not in publish.dashboard(p).split("application/json")[1].split("</script>")[0]
     publish.export_csv(u.select("auth_id", "is_closed", "period_end", "pace"), str(tmp_path / "csv"))
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == u.count()
     assert publish.json_safe({"a": [float("nan"), 1.0]}) == {"a": [None, 1.0]}

@@ -43,7 +43,28 @@ def test_what_is_published_has_no_raw_identifier(runs):
     assert "CLI-00" not in text
     assert "AUTH-0" not in text
     assert json.loads((root / "exports" / "payload.json").read_text())["headline"]["open_auths"] > 0
-    assert len(json.loads((root / "exports" / "relationships.json").read_text())) == 9
+    assert len(json.loads((root / "exports" / "relationships.json").read_text())) == 10
+    assert {p.name for p in (root / "exports").iterdir() if p.is_dir()} == set(pipeline.TABLE_KEYS)
+    assert (root / "exports" / "dashboard.html").exists()
+    assert "No row differs" in (root / "diff.md").read_text()
+
+
+def test_the_star_spans_all_days_and_has_all_keys(spark, runs):
+    root, (_, first, _) = runs
+    s = Store(root / "warehouse")
+    days = s.read(spark, "dim_date").selectExpr("min(full_date)", "max(full_date)").first()
+    facts, auths = s.read(spark, "fact_session"), s.read(spark, "fact_authorization")
+    sessions = facts.selectExpr("min(service_date)", "max(service_date)").first()
+    periods = auths.selectExpr("min(period_start)", "max(period_end)").first()
+    assert days[0] == min(sessions[0], periods[0])
+    assert days[1] == max(sessions[1], periods[1])
+    assert facts.where("date_key IS NULL OR client_key IS NULL OR provider_key IS NULL OR center_key IS NULL").count() == 0
+    assert auths.where("payer_key IS NULL").count() == 0
+    names = {c.name for c in first.context["results"]}
+    assert {"orphan_foreign_keys", "sessions_without_authorization", "session_length_distribution_shift", "phi_content_scan", "pseudonym_salt_configured", "row_counts"} <= names
+    assert len(names) == 17
+    log = s.run_log(spark)
+    assert log.where("code_version IS NULL OR ruleset IS NULL").count() == 0
 
 
 def test_acknowledgements_need_reasons():

@@ -56,6 +56,36 @@ def utilization(auths: DataFrame, sessions: DataFrame, catalogue: DataFrame, as_
     return u.withColumn("performance", F.when(F.col("is_closed"), F.col("utilization")).otherwise(F.col("pace"))).drop("mpu")
 
 
+def with_payer_and_home(u: DataFrame, payers: DataFrame, clients: DataFrame, centers: DataFrame) -> DataFrame:
+    """Adds payer_name and contract_type of the authorisation's payer, and home_center_id and center_name of the client's current version; one row an authorisation."""
+    home = clients.where("is_current").groupBy("client_id").agg(F.min("home_center_id").alias("home_center_id"))
+    named = home.join(centers.select(F.col("center_id").alias("home_center_id"), "center_name"), "home_center_id", "left")
+    # a payer listed with two contracts must not make two rows
+    one = payers.groupBy("payer_id").agg(F.min(F.struct("payer_name", "contract_type")).alias("p")).select("payer_id", "p.payer_name", "p.contract_type")
+    return u.join(one, "payer_id", "left").join(named, "client_id", "left")
+
+
+def role_months(auths: DataFrame, dates: DataFrame) -> DataFrame:
+    """auth_id, start_month, end_month: the date dimension in two roles."""
+    start = dates.select(F.col("full_date").alias("period_start"), F.col("year_month").alias("start_month"))
+    end = dates.select(F.col("full_date").alias("period_end"), F.col("year_month").alias("end_month"))
+    return auths.join(start, "period_start", "left").join(end, "period_end", "left").select("auth_id", "start_month", "end_month")
+
+
+def sibling_versions(clients: DataFrame) -> DataFrame:
+    """Pairs of versions of one client (a self-join by the natural key), with the payer before and after."""
+    a = clients.select("client_id", F.col("version").alias("earlier"), F.col("payer_id").alias("payer_before"))
+    b = clients.select("client_id", F.col("version").alias("later"), F.col("payer_id").alias("payer_after"))
+    return a.join(b, "client_id").where(F.col("later") == F.col("earlier") + 1)
+
+
+def first_rows(rows: DataFrame, group: str, order: list, limit: int) -> DataFrame:
+    """The first ``limit`` rows of each group, with their rank and how many more the group has."""
+    w = Window.partitionBy(group)
+    ranked = rows.withColumns({"rank": F.row_number().over(w.orderBy(*order)), "_n": F.count(F.lit(1)).over(w)})
+    return ranked.where(F.col("rank") <= limit).withColumn("more", F.greatest(F.col("_n") - limit, F.lit(0))).drop("_n")
+
+
 def unmatched(sessions: DataFrame, auths: DataFrame, keys: tuple[str, ...] = ("client_id", "service_code")) -> DataFrame:
     """Eligible sessions that no authorisation covers."""
     s, a = eligible(sessions).alias("s"), auths.alias("a")

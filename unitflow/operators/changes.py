@@ -70,3 +70,24 @@ def next_mark(rows: DataFrame, column: str, mark: date | None) -> date | None:
 def merged(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """The target with rows of the batch's keys replaced by the batch's."""
     return target.join(batch.select(*keys).distinct(), keys, "left_anti").select(*target.columns).unionByName(batch.select(*target.columns))
+
+
+def definitions_changed(before: str | None, after: str | None) -> bool:
+    """Whether the rules moved between two runs, by their fingerprints."""
+    return bool(before and after and before != after)
+
+
+def diff_report(tables: dict[str, dict] | None, rules: tuple[str | None, str | None] = (None, None)) -> str:
+    """The differences of two builds as text: rules first, then each table's rows and its most changed columns."""
+    out = ["# Changes since the last published build", ""]
+    if definitions_changed(*rules):
+        out += [f"The rules changed: {rules[0]} before, {rules[1]} now. Figures may differ in what they mean, not only in what was delivered.", ""]
+    if not tables:
+        return "\n".join([*out, "There is no earlier build to compare with.", ""])
+    moved = {t: d["added"] + d["removed"] + d["changed"] for t, d in tables.items()}
+    out += [f"{sum(moved.values()):,} rows differ." if any(moved.values()) else "No row differs.", "", "| table | added | removed | changed | unchanged | columns |", "|---|---:|---:|---:|---:|---|"]
+    for t in sorted(tables, key=lambda t: (-moved[t], t)):
+        d = tables[t]
+        cells = sorted(((n, c.removeprefix("changed_")) for c, n in d.items() if c.startswith("changed_") and n), key=lambda x: (-x[0], x[1]))
+        out.append(f"| {t} | {d['added']} | {d['removed']} | {d['changed']} | {d['unchanged']} | {', '.join(f'{c} ({n})' for n, c in cells[:3]) or '-'} |")
+    return "\n".join([*out, ""])

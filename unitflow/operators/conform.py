@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from unitflow.functions.exprs import FAR_FUTURE, normalised, number
+from unitflow.functions.exprs import FAR_FUTURE, date_key, normalised, number
 
 UNKNOWN_KEY = 0
 
@@ -113,20 +113,37 @@ def lookup(facts: DataFrame, dim: DataFrame, on: str, take: list[str], default:
     return j
 
 
-def fact_session(sessions: DataFrame, versions: DataFrame, services: DataFrame) -> DataFrame:
-    """The session fact: attributed to the client's version on its date, with status flags, and zero measures unless completed."""
-    j = as_of(sessions, versions.select("client_id", "version", "valid_from", "valid_to"), "client_id", "service_date")
-    j = lookup(j, services, "service_code", ["service_key"], {"service_key": UNKNOWN_KEY})
+def date_bounds(columns: list[tuple[DataFrame, str]]) -> DataFrame:
+    """One row: the first and last day over all date columns together."""
+    days = None
+    for df, c in columns:
+        own = df.agg(F.min(F.col(c).cast("date")).alias("first_day"), F.max(F.col(c).cast("date")).alias("last_day"))
+        days = own if days is None else days.unionByName(own)
+    return days.agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
+
+
+def keyed(facts: DataFrame, dims: dict[str, tuple[DataFrame, str]], unknown: tuple[str, ...] = ()) -> DataFrame:
+    """Adds a surrogate key from each dimension: {key: (dimension, natural key)}. Facts without a member get the unknown member's key for the keys in ``unknown``, else null."""
+    for key, (dim, natural) in dims.items():
+        facts = lookup(facts, dim, natural, [key], {key: UNKNOWN_KEY} if key in unknown else None)
+    return facts
+
+
+def fact_session(sessions: DataFrame, versions: DataFrame, services: DataFrame, providers: DataFrame, centers: DataFrame) -> DataFrame:
+    """The session fact: attributed to the client's version on its date, with keys of all dimensions, status flags, and zero measures unless completed."""
+    j = as_of(sessions, versions.select("client_id", "version", "client_key", "valid_from", "valid_to"), "client_id", "service_date")
+    j = keyed(j, {"service_key": (services, "service_code"), "provider_key": (providers, "provider_id"), "center_key": (centers, "center_id")}, ("service_key",))
     done = F.col("status") == "completed"
     return (
-        j.withColumns({"is_completed": done, "is_cancelled": F.col("status") == "cancelled", "is_no_show": F.col("status") == "no_show"})
+        j.withColumns({"date_key": date_key(F.col("service_date")), "is_completed": done, "is_cancelled": F.col("status") == "cancelled", "is_no_show": F.col("status") == "no_show"})
         .withColumn("units_delivered", F.when(done, F.col("units")).otherwise(0.0))
         .withColumn("minutes_delivered", F.when(done, F.col("minutes")).otherwise(0.0))
     )
 
 
-def fact_authorization(auths: DataFrame, versions: DataFrame, services: DataFrame) -> DataFrame:
-    """The entitlement fact: the client's version at the period's start (else the earliest) and the days of the period."""
-    j = as_of_or_earliest(auths, versions.select("client_id", "version", "valid_from", "valid_to"), "client_id", "period_start", "auth_id")
-    j = lookup(j, services, "service_code", ["service_key"], {"service_key": UNKNOWN_KEY})
+def fact_authorization(auths: DataFrame, versions: DataFrame, services: DataFrame, payers: DataFrame) -> DataFrame:
+    """The entitlement fact: the client's version at the period's start (else the earliest), keys of all dimensions and both dates, and the days of the period."""
+    j = as_of_or_earliest(auths, versions.select("client_id", "version", "client_key", "valid_from", "valid_to"), "client_id", "period_start", "auth_id")
+    j = keyed(j, {"service_key": (services, "service_code"), "payer_key": (payers, "payer_id")}, ("service_key",))
+    j = j.withColumns({"period_start_key": date_key(F.col("period_start")), "period_end_key": date_key(F.col("period_end"))})
     return j.withColumn("authorized_days", F.datediff("period_end", "period_start") + 1).drop("valid_from", "valid_to", "in_window")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hmac
 import os
+import re
 import secrets
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from unitflow.functions.exprs import masked, pseudonym
@@ -21,21 +23,74 @@ PATTERNS = {
     "us_zip_plus4": r"(?U)\b\d{5}-\d{4}\b",
 }
 PSEUDONYM = r"^[A-Z]{3}-[0-9A-F]{12}$"
-PREFIXES = {"client_id": "CLI", "provider_id": "PRV", "session_id": "SES", "auth_id": "ATH"}
+PREFIXES = {"client_id": "CLI", "provider_id": "PRV", "session_id": "SES", "auth_id": "ATH", "client_key": "CLK"}
 DIRECT, QUASI, CLINICAL, OPERATIONAL, SAFE = "direct_identifier", "quasi_identifier", "clinical", "operational", "safe"
-#: Classes by column; a column that is not here is a direct identifier.
-CLASSES = dict.fromkeys(PREFIXES, DIRECT) | dict.fromkeys(("age_band", "home_center_id", "center_id", "payer_id"), QUASI) | dict.fromkeys(("service_code", "units_authorized", "units_delivered", "utilization", "pace", "hours_unused"), CLINICAL) | dict.fromkeys(("period_start", "period_end", "service_date", "status", "uom_resolved", "unresolved_reason"), OPERATIONAL) | dict.fromkeys(("year_month", "sessions", "coverage"), SAFE)
+#: Shapes of source identifiers, in whatever text.
+SOURCE_IDS = {"raw_client_id": r"\bCLI-\d{4,6}\b", "raw_provider_id": r"\bPRV-\d{3,5}\b", "raw_session_id": r"\bSES-\d{6,8}\b", "raw_auth_id": r"\bAUTH-\d{5,7}\b"}
+#: Columns by class, in any table that declares them; then the columns that each published table has.
+_KINDS = dict.fromkeys(PREFIXES, DIRECT) | dict.fromkeys(("age_band", "age_years", "home_center_id", "center_id", "payer_id", "effective_date"), QUASI)
+_KINDS |= dict.fromkeys(("service_code", "service_key", "units_authorized", "units_delivered", "minutes_delivered", "minutes", "units", "duration_value", "duration_uom", "utilization", "units_unused", "expected_units", "pace", "performance", "hours_unused", "hours_authorized"), CLINICAL)
+_KINDS |= dict.fromkeys(("period_start", "period_end", "issued_date", "service_date", "status", "uom_resolved", "unresolved_reason", "version", "valid_from", "valid_to", "is_current", "change_reason", "hire_date", "term_date", "is_active", "days_to_expiry", "is_closed", "elapsed_days", "elapsed_fraction", "authorized_days", "is_completed", "is_cancelled", "is_no_show", "source_system", "sessions"), OPERATIONAL)
+_KINDS |= dict.fromkeys(("provider_key", "center_key", "payer_key", "date_key", "period_start_key", "period_end_key"), OPERATIONAL)
+_KINDS |= dict.fromkeys(("service_name", "discipline", "minutes_per_unit", "role", "center_name", "state", "payer_name", "contract_type", "full_date", "year", "quarter", "month", "month_name", "year_month", "day_of_week", "day_name", "is_weekend", "coverage"), SAFE)
+_COLUMNS = {
+    "dim_client": "client_key client_id version valid_from valid_to is_current age_years age_band home_center_id payer_id change_reason",
+    "dim_service": "service_key service_code service_name discipline minutes_per_unit",
+    "dim_provider": "provider_key provider_id role discipline center_id hire_date term_date is_active",
+    "dim_center": "center_key center_id center_name state",
+    "dim_payer": "payer_key payer_id payer_name contract_type",
+    "dim_date": "date_key full_date year quarter month month_name year_month day_of_week day_name is_weekend",
+    "fact_session": "session_id date_key client_key client_id provider_key provider_id service_key service_code center_key center_id service_date version duration_value duration_uom status units minutes units_delivered minutes_delivered uom_resolved unresolved_reason is_completed is_cancelled is_no_show source_system",
+    "fact_authorization": "auth_id client_key client_id service_key service_code payer_key payer_id period_start period_end period_start_key period_end_key issued_date version units_authorized authorized_days",
+    "utilization": "auth_id client_key client_id service_key service_code payer_key payer_id period_start period_end period_start_key period_end_key issued_date version units_authorized units_delivered minutes_delivered sessions utilization units_unused hours_authorized hours_unused days_to_expiry is_active is_closed authorized_days elapsed_days elapsed_fraction expected_units pace performance payer_name contract_type home_center_id center_name",
+}
+#: The class of each column of each published table. A column that is not here is a direct identifier.
+CLASSES = {t: {c: _KINDS[c] for c in own.split()} for t, own in _COLUMNS.items()}
 THRESHOLD, MARK = 10, "<11"
 _process_salt = secrets.token_bytes(32)
 DEV_SALT = b"development-only"
 
 
-def classify(column: str) -> str:
-    return CLASSES.get(column, DIRECT)
+def classify(table: str, column: str) -> str:
+    return CLASSES.get(table, {}).get(column, DIRECT)
+
+
+def undeclared(df: DataFrame, table: str) -> list[str]:
+    return [c for c in df.columns if c not in CLASSES.get(table, {})]
+
+
+def redact_records(records: list[dict]) -> list[dict]:
+    """Sample rows as they may be shown: identifier columns as pseudonyms of this process, source identifiers elsewhere struck out."""
+    def shown(name: str, value):
+        if value is None or value == "":
+            return value
+        if name in PREFIXES:
+            return f"{PREFIXES[name]}-{hmac.new(salt()[0], str(value).encode(), 'sha256').hexdigest()[:12].upper()}"
+        clean = str(value)
+        for shape in SOURCE_IDS.values():
+            clean = re.sub(shape, "[redacted]", clean)
+        return value if clean == str(value) else clean
+
+    return [{k: shown(k, v) for k, v in r.items()} for r in records]
+
+
+def redacted(c: Column) -> Column:
+    """A text column with source identifiers struck out."""
+    for shape in SOURCE_IDS.values():
+        c = F.regexp_replace(c, f"(?U){shape}", "[redacted]")
+    return c
+
+
+def source_ids(lines: DataFrame, column: str = "value") -> DataFrame:
+    """pattern, matches: raw source identifiers in a column of text, counted by the executors."""
+    c = F.coalesce(F.col(column), F.lit(""))
+    one = lines.agg(*[F.coalesce(F.sum(F.regexp_count(c, F.lit(f"(?U){shape}"))), F.lit(0)).alias(name) for name, shape in SOURCE_IDS.items()])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("pattern"), F.col(n).cast("long").alias("matches")) for n in SOURCE_IDS])).alias("x")).select("x.*").where("matches > 0")
 
 
-def undeclared(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in CLASSES]
+def published_findings(spark: SparkSession, paths: list[str]) -> list[tuple[str, str, int]]:
+    """(path, pattern, matches) of raw identifiers in what was written, read back as text."""
+    return [(p, r.pattern, r.matches) for p in paths for r in source_ids(spark.read.text(p, recursiveFileLookup=True)).collect()]
 
 
 def salt(variable: str = "UNITFLOW_SALT") -> tuple[bytes, str]:
@@ -44,9 +99,9 @@ def salt(variable: str = "UNITFLOW_SALT") -> tuple[bytes, str]:
     return (_process_salt, "ephemeral") if not own else (own, "development" if own == DEV_SALT else "configured")
 
 
-def deidentified(df: DataFrame, key: bytes) -> DataFrame:
+def deidentified(df: DataFrame, key: bytes, table: str) -> DataFrame:
     """Declared identifiers as pseudonyms, undeclared columns left out."""
-    return df.select(*[pseudonym(F.col(c), key, PREFIXES[c]).alias(c) if classify(c) == DIRECT else F.col(c) for c in df.columns if c in CLASSES])
+    return df.select(*[pseudonym(F.col(c), key, PREFIXES[c]).alias(c) if classify(table, c) == DIRECT else F.col(c) for c in df.columns if c in CLASSES.get(table, {})])
 
 
 def scan(df: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
@@ -56,8 +111,9 @@ def scan(df: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
     pairs = [(c, p) for c in cols for p in patterns]
     if not pairs:
         return df.sparkSession.createDataFrame([], "column string, pattern string, matches long, example string")
-    hit = lambda c, p: F.coalesce(F.col(f"`{c}`").rlike(patterns[p]), F.lit(False))
-    one = df.agg(*[F.struct(F.lit(c).alias("column"), F.lit(p).alias("pattern"), F.count_if(hit(c, p)).alias("matches"), masked(F.min(F.when(hit(c, p), F.regexp_substr(F.col(f"`{c}`"), F.lit(patterns[p]))))).alias("example")).alias(f"s{i}") for i, (c, p) in enumerate(pairs)])
+    # one extraction a row, column and pattern: null where there is no match
+    found = lambda c, p: F.regexp_substr(F.col(f"`{c}`"), F.lit(patterns[p]))
+    one = df.agg(*[F.struct(F.lit(c).alias("column"), F.lit(p).alias("pattern"), F.count(found(c, p)).alias("matches"), masked(F.min(found(c, p))).alias("example")).alias(f"s{i}") for i, (c, p) in enumerate(pairs)])
     return one.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(pairs))])).alias("s")).select("s.*").where("matches > 0")
 
 
@@ -68,9 +124,10 @@ def is_pseudonymised(df: DataFrame, column: str) -> bool:
 
 def egress_findings(df: DataFrame, table: str) -> list[tuple[str, str, str]]:
     """(table, column, reason) of what must not leave: undeclared columns, raw identifiers, identifier-shaped contents."""
-    out = [(table, c, "undeclared") for c in undeclared(df)]
-    out += [(table, c, "unpseudonymised_identifier") for c in df.columns if c in PREFIXES and not is_pseudonymised(df, c)]
-    rest = df.select(*[c for c in df.columns if c in CLASSES and c not in PREFIXES])
+    own = CLASSES.get(table, {})
+    out = [(table, c, "undeclared") for c in undeclared(df, table)]
+    out += [(table, c, "unpseudonymised_identifier") for c in df.columns if own.get(c) == DIRECT and not is_pseudonymised(df, c)]
+    rest = df.select(*[c for c in df.columns if c in own and own[c] != DIRECT])
     return out + [(table, r["column"], f"content_match:{r.pattern}") for r in scan(rest).collect()]
 
 

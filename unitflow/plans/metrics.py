@@ -1,7 +1,9 @@
-"""The metric registry: each metric has a sentence, a Spark SQL form over temp views and a DataFrame form; parity compares them."""
+"""The metric registry: each metric has a sentence, a Spark SQL expression over its grain's view and a DataFrame form; parity compares them."""
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -27,17 +29,17 @@ def _share() -> Column:
 DELIVERED = "status = 'completed' AND uom_resolved"
 #: ``sessions`` is the resolved sessions, ``utilization`` the roll-up.
 METRICS = (
-    Metric("units_authorized", "Units that payers authorised.", "utilization", "SELECT SUM(units_authorized) FROM utilization", lambda: F.sum("units_authorized")),
-    Metric("units_delivered_completed", "Units of completed sessions.", "sessions", "SELECT SUM(units) FROM sessions WHERE status = 'completed'", lambda: F.sum(F.when(F.expr("status = 'completed'"), F.col("units")))),
-    Metric("hours_delivered", "Hours of completed, resolved sessions.", "sessions", f"SELECT SUM(minutes) / 60 FROM sessions WHERE {DELIVERED}", lambda: F.sum(F.when(F.expr(DELIVERED), F.col("minutes"))) / 60),
-    Metric("session_count", "Sessions.", "sessions", "SELECT COUNT(DISTINCT session_id) FROM sessions", lambda: F.countDistinct("session_id")),
-    Metric("authorization_count", "Authorisations.", "utilization", "SELECT COUNT(DISTINCT auth_id) FROM utilization", lambda: F.countDistinct("auth_id")),
-    Metric("children_served", "People with a session.", "sessions", "SELECT COUNT(DISTINCT client_id) FROM sessions", lambda: F.countDistinct("client_id")),
-    Metric("auth_units_delivered", "Units delivered within an authorised period.", "utilization", "SELECT SUM(units_delivered) FROM utilization", lambda: F.sum("units_delivered")),
-    Metric("units_unused", "Authorised units not delivered, never below zero for an authorisation.", "utilization", "SELECT SUM(GREATEST(units_authorized - units_delivered, 0)) FROM utilization", lambda: F.sum("units_unused")),
-    Metric("hours_unused", "The same in hours.", "utilization", "SELECT SUM(hours_unused) FROM utilization", lambda: F.sum("hours_unused")),
-    Metric("hours_authorized", "Authorised hours.", "utilization", "SELECT SUM(hours_authorized) FROM utilization", lambda: F.sum("hours_authorized")),
-    Metric("authorization_utilization", "Delivered share of authorised units.", "utilization", "SELECT TRY_DIVIDE(SUM(units_delivered), SUM(units_authorized)) FROM utilization", _share),
+    Metric("units_authorized", "Units that payers authorised.", "utilization", "SUM(units_authorized)", lambda: F.sum("units_authorized")),
+    Metric("units_delivered_completed", "Units of completed sessions.", "sessions", "SUM(units) FILTER (WHERE status = 'completed')", lambda: F.sum(F.when(F.expr("status = 'completed'"), F.col("units")))),
+    Metric("hours_delivered", "Hours of completed, resolved sessions.", "sessions", f"SUM(minutes) FILTER (WHERE {DELIVERED}) / 60", lambda: F.sum(F.when(F.expr(DELIVERED), F.col("minutes"))) / 60),
+    Metric("session_count", "Sessions.", "sessions", "COUNT(DISTINCT session_id)", lambda: F.countDistinct("session_id")),
+    Metric("authorization_count", "Authorisations.", "utilization", "COUNT(DISTINCT auth_id)", lambda: F.countDistinct("auth_id")),
+    Metric("children_served", "People with a session.", "sessions", "COUNT(DISTINCT client_id)", lambda: F.countDistinct("client_id")),
+    Metric("auth_units_delivered", "Units delivered within an authorised period.", "utilization", "SUM(units_delivered)", lambda: F.sum("units_delivered")),
+    Metric("units_unused", "Authorised units not delivered, never below zero for an authorisation.", "utilization", "SUM(GREATEST(units_authorized - units_delivered, 0))", lambda: F.sum("units_unused")),
+    Metric("hours_unused", "The same in hours.", "utilization", "SUM(hours_unused)", lambda: F.sum("hours_unused")),
+    Metric("hours_authorized", "Authorised hours.", "utilization", "SUM(hours_authorized)", lambda: F.sum("hours_authorized")),
+    Metric("authorization_utilization", "Delivered share of authorised units.", "utilization", "TRY_DIVIDE(SUM(units_delivered), SUM(units_authorized))", _share),
 )
 
 
@@ -53,9 +55,14 @@ def frame_values(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def sql_values(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
+    """metric, value: the SQL forms, one aggregate over each grain's view."""
+    parts = []
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(" UNION ALL ".join(f"SELECT '{m.key}' AS metric, CAST(({m.sql}) AS DOUBLE) AS value" for m in METRICS))
+        own = [m for m in METRICS if m.grain == name]
+        pairs = ", ".join(f"'{m.key}', {m.key}" for m in own)
+        parts.append(f"SELECT stack({len(own)}, {pairs}) AS (metric, value) FROM (SELECT {', '.join(f'CAST({m.sql} AS DOUBLE) AS {m.key}' for m in own)} FROM {name})")
+    return spark.sql(" UNION ALL ".join(parts))
 
 
 def parity(spark: SparkSession, frames: dict[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
@@ -66,3 +73,37 @@ def parity(spark: SparkSession, frames: dict[str, DataFrame], tolerance: float =
 
 def catalogue_markdown() -> str:
     return "\n".join(["| metric | definition |", "|---|---|", *(f"| {m.key} | {m.sentence} |" for m in METRICS)])
+
+
+def measures(text: str) -> dict[str, str]:
+    """Measures of a report's text: ``Name =`` at the beginning of a line, and the lines up to the next blank one. Comments (//) are left out."""
+    out: dict[str, str] = {}
+    name = None
+    for line in text.splitlines():
+        line = line.split("//")[0].rstrip()
+        head = re.fullmatch(r"(\w[^=\[\]]*?)\s*=", line)
+        if head:
+            name = head.group(1)
+            out[name] = ""
+        elif not line.strip():
+            name = name if name and not out[name] else None
+        elif name:
+            out[name] += line.strip() + "\n"
+    return out
+
+
+def contract(text: str, wanted: dict[str, tuple[str, ...]]) -> dict[str, list[str] | None]:
+    """Of each wanted measure the columns that it does not mention, itself or in a measure that it refers to by [name]; None: no such measure."""
+    have = measures(text)
+
+    def missing(name: str) -> list[str] | None:
+        if name not in have:
+            return None
+        body = have[name] + "".join(have.get(ref, "") for ref in re.findall(r"\[([^\]]+)\]", have[name]))
+        return [c for c in wanted[name] if not re.search(rf"(?<!\w){re.escape(c)}(?!\w)", body)]
+
+    return {name: missing(name) for name in wanted}
+
+
+def catalogue_json() -> str:
+    return json.dumps([{"key": m.key, "sentence": m.sentence, "grain": m.grain, "sql": m.sql} for m in METRICS])

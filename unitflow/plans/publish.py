@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hmac
 import json
 import math
 from pathlib import Path
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from unitflow.operators import analytics, privacy
 
-ROWS = 25
+ROWS, DIGEST_ROWS = 25, 12
 
 
 def for_csv(df: DataFrame) -> DataFrame:
@@ -39,12 +40,23 @@ def shown(n: int | None) -> int | str | None:
     return privacy.MARK if n is not None and 0 < n <= privacy.THRESHOLD else n
 
 
+def export_tables(tables: dict[str, DataFrame], key: bytes, path: str) -> dict[str, list[tuple[str, str, str]]]:
+    """Every table as CSV below ``path``, by pseudonym and in a fixed order; and what its egress check found. A table with findings is not written."""
+    found = {}
+    for name, df in tables.items():
+        safe = privacy.deidentified(df, key, name)
+        found[name] = privacy.egress_findings(safe, name)
+        if not found[name]:
+            export_csv(safe.orderBy(*safe.columns[:1]), f"{path}/{name}")
+    return found
+
+
 def payload(u: DataFrame, key: bytes) -> dict:
     """Headline and the authorisations most at risk, ROWS at most, by pseudonym and without their centre."""
     h = analytics.headline(u).first().asDict()
     h["clients_at_risk"] = shown(h["clients_at_risk"])
     top = analytics.at_risk(u).orderBy("days_to_expiry", F.col("hours_unused").desc(), "auth_id").limit(ROWS)
-    safe = privacy.deidentified(top.select("auth_id", "client_id", "service_code", "units_authorized", "units_delivered", "hours_unused", "period_end"), key)
+    safe = privacy.deidentified(top.select("auth_id", "client_id", "service_code", "units_authorized", "units_delivered", "hours_unused", "period_end"), key, "utilization")
     return json_safe({"headline": h, "at_risk": [r.asDict() for r in safe.collect()]})
 
 
@@ -53,8 +65,11 @@ def write_payload(p: dict, path: str | Path) -> None:
 
 
 def verify_payload(path: str | Path, u: DataFrame, tolerance: float = 1e-6) -> list[str]:
+    return payload_findings(json.loads(Path(path).read_text() or "{}"), u, tolerance)
+
+
+def payload_findings(p: dict, u: DataFrame, tolerance: float = 1e-6) -> list[str]:
     """What the published headline says that the data do not; an empty payload is a finding."""
-    p = json.loads(Path(path).read_text() or "{}")
     if not p.get("headline"):
         return ["the payload has no headline"]
     own = json_safe(analytics.headline(u).first().asDict())
@@ -69,11 +84,64 @@ def plan_centres(risk: DataFrame, centre: str = "center_id") -> DataFrame:
     return privacy.suppress(n, "clients", centre, derived=("hours", "authorizations"))
 
 
-def digest(u: DataFrame) -> str:
-    """The weekly text: totals, then centres; pooled centres are named by number only."""
+def sections(risk: DataFrame, centre: str = "center_id") -> DataFrame:
+    """The rows of ``risk`` with ``section``: their centre, or null where the centre is pooled or unknown."""
+    open_ = plan_centres(risk, centre).where("NOT suppressed").select(F.col(centre).alias("section"))
+    return risk.join(open_, risk[centre] == F.col("section"), "left")
+
+
+def digest_rows(risk: DataFrame, centre: str = "center_id", limit: int = DIGEST_ROWS) -> DataFrame:
+    """section, rank, auth_id, client_id, service_code, hours_unused, days_to_expiry, more: the first rows of each section, by expiry so that no order tells a pooled centre."""
+    rows = analytics.first_rows(sections(risk, centre), "section", [F.col("days_to_expiry"), F.col("hours_unused").desc(), F.col("auth_id")], limit)
+    return rows.select("section", "rank", "auth_id", "client_id", "service_code", "hours_unused", "days_to_expiry", "more")
+
+
+def digest(u: DataFrame, key: bytes) -> str:
+    """The weekly text: totals, then a table a centre; small centres share one without their names.
+
+    Where the pooled clients are few, the totals are withheld too: less the named centres they would tell the number.
+    """
+    risk = analytics.at_risk(u)
     h = analytics.headline(u).first()
-    rows = plan_centres(analytics.at_risk(u)).orderBy("center_id").collect()
-    lines = ["# Weekly digest", "", f"{shown(h.clients_at_risk)} clients with {h.at_risk} authorisations and {h.hours_at_risk or 0:,.0f} hours at risk.", ""]
-    lines += [f"- Centre {'unknown' if r.center_id is None else r.center_id}: {r.clients} clients, {float(r.hours):,.0f} hours" for r in rows if not r.suppressed]
-    pooled = sum(r.suppressed for r in rows)
-    return "\n".join([*lines, f"- {pooled} centres with few clients are not shown." if pooled else ""]).strip() + "\n"
+    plan = {r.center_id: r for r in plan_centres(risk).collect()}
+    pooled = sections(risk).where("section IS NULL").agg(F.countDistinct("client_id").alias("n")).first().n
+    hidden = 0 < pooled <= privacy.THRESHOLD
+    total = "The total is withheld, as it would tell a small number." if hidden else f"{shown(h.clients_at_risk)} clients with {h.at_risk} authorisations and {h.hours_at_risk or 0:,.0f} hours at risk."
+    lines = ["# Weekly digest", "", total, ""]
+    rows: dict = {}
+    for r in digest_rows(risk).orderBy("section", "rank").collect():  # DIGEST_ROWS a centre at most
+        rows.setdefault(r.section, []).append(r)
+    for section in sorted(rows, key=lambda s: (s is None, s)):
+        own = plan.get(section)
+        head = f"Centre {section}: {own.clients} clients, {float(own.hours):,.0f} hours" if section is not None else f"{sum(r.suppressed for r in plan.values()) or 'Other'} centres with few clients: {shown(pooled)} clients"
+        lines += [f"## {head}", "", "| client | service | hours left | days left |", "|---|---|---:|---:|"]
+        lines += [f"| {_pseudonym(r.client_id, key)} | {r.service_code} | {r.hours_unused:,.1f} | {r.days_to_expiry} |" for r in rows[section]]
+        more = rows[section][0].more
+        lines += [f"| ... | {more} more | | |"] if more else []
+        lines.append("")
+    return "\n".join(lines).strip() + "\n"
+
+
+def _pseudonym(value, key: bytes) -> str:
+    return f"{privacy.PREFIXES['client_id']}-{hmac.new(key, str(value).encode(), 'sha256').hexdigest()[:12].upper()}"
+
+
+PAGE = """<!doctype html><meta charset="utf-8"><title>Utilisation</title>
+<h1>Utilisation of authorised units</h1><dl id="headline"></dl><table id="risk"></table>
+<script id="data" type="application/json">%s</script>
+<script>
+const data = JSON.parse(document.getElementById("data").textContent);
+const add = (parent, tag, text) => parent.appendChild(Object.assign(document.createElement(tag), {textContent: text ?? "-"}));
+for (const [name, value] of Object.entries(data.headline)) { add(headline, "dt", name); add(headline, "dd", value); }
+if (data.at_risk.length) {
+  const names = Object.keys(data.at_risk[0]), head = risk.createTHead().insertRow(), body = risk.createTBody();
+  names.forEach(n => add(head, "th", n));
+  data.at_risk.forEach(r => { const row = body.insertRow(); names.forEach(n => add(row, "td", r[n])); });
+}
+</script>
+"""
+
+
+def dashboard(p: dict) -> str:
+    """One HTML page that holds the payload; no text in it can end the script early."""
+    return PAGE % json.dumps(p, allow_nan=False, sort_keys=True).replace("</", "<\\/")

@@ -333,7 +333,7 @@ def metric_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT 'uom_resolution_coverage' AS name, 'BLOCK' AS severity, coverage >= 0.99 AS passed, ROUND(coverage, 6) AS observed FROM x UNION ALL SELECT 'duration_plausibility', 'BLOCK', implausible = 0, implausible FROM x
   UNION ALL SELECT 'unmapped_service_codes', 'WARN', unmapped = 0, unmapped FROM x UNION ALL SELECT 'utilization_over_ceiling', 'WARN', over_ceiling = 0, over_ceiling FROM x UNION ALL SELECT 'zero_unit_authorizations', 'WARN', zero_units = 0, zero_units FROM x""")
 def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.core_checks(resolved(spark, sf_dir), util(spark, sf_dir)).select("name", "severity", "passed", r("observed", 6).alias("observed"))
+    return checks.core_checks(resolved(spark, sf_dir), util(spark, sf_dir), src.catalogue(spark, without=("error",))).select("name", "severity", "passed", r("observed", 6).alias("observed"))
 
 
 def _hmac_sql(column: str, key: bytes) -> str:
@@ -421,24 +421,33 @@ def incremental_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- the SQL corpus ----------------------------------------------------------------------------------------------------
 
-STAR = f"""{RESOLVED}, {AUTHS},
-dim_service AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY service_code) AS INTEGER) AS service_key, service_code, service_name, discipline, mpu AS minutes_per_unit FROM cat UNION ALL SELECT 0, 'UNKNOWN', 'Unmapped', 'UNKNOWN', 0),
-moves AS (SELECT client_id, DATE '2024-01-01' + CAST(i * 15 AS INTEGER) AS valid_from, (client_id + i) % 4 AS payer_id, CASE WHEN i = 0 THEN 'enrollment' ELSE 'payer_change' END AS change_reason FROM (SELECT DISTINCT user_id AS client_id FROM events), (VALUES (0), (1)) AS t(i) WHERE i = 0 OR client_id % 3 = 0),
-dim_client AS (SELECT *, CAST(ROW_NUMBER() OVER w AS INTEGER) AS version, COALESCE(CAST(LEAD(valid_from) OVER w AS DATE) - 1, DATE '9999-12-31') AS valid_to, LEAD(valid_from) OVER w IS NULL AS is_current, CAST(client_id AS VARCHAR) || '-' || CAST(ROW_NUMBER() OVER w AS VARCHAR) AS client_key FROM moves WINDOW w AS (PARTITION BY client_id ORDER BY valid_from, payer_id)),
-fact_session AS (SELECT s.session_id, c.client_key, s.client_id, s.provider_id, COALESCE(d.service_key, 0) AS service_key, s.center_id, s.service_date, strftime(s.service_date, '%Y-%m') AS year_month, ok AS uom_resolved, reason AS unresolved_reason, CASE WHEN status = 'completed' THEN units ELSE 0 END AS units_delivered, CASE WHEN status = 'completed' THEN minutes ELSE 0 END AS minutes_delivered, status = 'completed' AS is_completed, status = 'no_show' AS is_no_show
-  FROM resolved s JOIN dim_client c ON c.client_id = s.client_id AND s.service_date BETWEEN c.valid_from AND c.valid_to LEFT JOIN dim_service d ON d.service_code = s.service_code),
-fact_authorization AS (SELECT a.auth_id, a.client_id, a.client_id % 4 AS payer_id, COALESCE(d.service_key, 0) AS service_key, authorized AS units_authorized, p_start AS period_start, p_end AS period_end FROM auths a LEFT JOIN dim_service d ON d.service_code = a.service_code),
-dim_payer AS (SELECT CAST(i AS BIGINT) AS payer_id, 'Payer ' || CAST(i AS VARCHAR) AS payer_name, CASE WHEN i % 2 = 1 THEN 'value_based' ELSE 'fee_for_service' END AS contract_type FROM range(4) AS t(i)),
-dim_provider AS (SELECT i AS provider_id, CASE WHEN i % 3 = 0 THEN 'lead' ELSE 'staff' END AS role, CASE WHEN i % 2 = 0 THEN 'front' ELSE 'back' END AS discipline FROM range(85) AS t(i)),
-dim_center AS (SELECT i AS center_id, 'Centre ' || CAST(i AS VARCHAR) AS center_name FROM range(5) AS t(i))"""
-
-
-def _oracle(sql: str) -> str:
-    """The same statement for the oracle: its views first, and its name for the difference of days."""
-    sql = sql.strip().replace("DATEDIFF(p.period_end, (SELECT d FROM as_of))", "CAST(date_diff('day', (SELECT d FROM as_of), p.period_end) AS INTEGER)").replace("ORDER BY utilization,", "ORDER BY utilization NULLS FIRST,")
-    return f"WITH {STAR}, {sql.removeprefix('WITH ')}" if sql.startswith("WITH ") else f"WITH {STAR} {sql}"
-
-
-for _name, _sql in corpus.QUERIES.items():
+#: Written apart from the statements that they check: from the raw tables, without the star.
+MONTH = "strftime(service_date, '%Y-%m')"
+SERVICE = "CASE WHEN service_code = 'error' THEN 'UNKNOWN' ELSE service_code END"
+CONTRACT = "CASE WHEN client_id % 2 = 1 THEN 'value_based' ELSE 'fee_for_service' END"
+CORPUS_ORACLES = {
+    "corpus_q01_monthly_volume": f"WITH {RESOLVED} SELECT {MONTH} AS year_month, COUNT(*) AS sessions, COUNT(*) FILTER (WHERE status = 'completed') AS completed, ROUND(SUM(minutes) FILTER (WHERE status = 'completed') / 60, 1) AS hours_delivered, ROUND(AVG(CAST(ok AS INTEGER)) FILTER (WHERE status = 'completed'), 4) AS uom_coverage FROM resolved GROUP BY 1",
+    "corpus_q02_lowest_utilization": f"WITH {UTIL} SELECT auth_id, client_id, {SERVICE} AS service_code, CASE WHEN service_code IN ('view', 'click') THEN 'front' WHEN service_code = 'error' THEN 'UNKNOWN' ELSE 'back' END AS discipline, 'Payer ' || CAST(client_id % 4 AS VARCHAR) AS payer_name, {CONTRACT} AS contract_type, authorized AS units_authorized, ROUND(delivered, 4) AS units_delivered, ROUND(utilization, 4) AS utilization FROM util ORDER BY util.utilization NULLS FIRST, auth_id LIMIT 25",
+    "corpus_q03_fanned_out_total": f"WITH {RESOLVED}, {AUTHS}, wide AS (SELECT a.authorized FROM auths a, resolved s WHERE s.client_id = a.client_id AND s.service_code = a.service_code AND s.service_date >= a.p_start AND s.service_date <= a.p_end AND s.status = 'completed' AND s.ok) SELECT (SELECT SUM(authorized) FROM auths) AS authorized_units_correct, SUM(authorized) AS authorized_units_fanned_out, ROUND(SUM(authorized) / (SELECT SUM(authorized) FROM auths), 1) AS inflation_factor FROM wide",
+    "corpus_q04_resolution_by_month": f"WITH {RESOLVED}, t AS (SELECT {MONTH} AS year_month, COUNT(*) AS total FROM resolved GROUP BY 1) SELECT t.year_month, CASE WHEN ok THEN 'resolved' ELSE reason END AS resolution, COUNT(*) AS sessions, ROUND(100.0 * COUNT(*) / total, 2) AS pct_of_month FROM resolved JOIN t ON t.year_month = {MONTH} GROUP BY t.year_month, 2, total",
+    "corpus_q05_weighted_and_mean_ratio": f"WITH {UTIL} SELECT {CONTRACT} AS contract_type, COUNT(DISTINCT auth_id) AS authorizations, ROUND(SUM(delivered) / SUM(authorized), 4) AS utilization_weighted, ROUND(AVG(utilization), 4) AS utilization_mean_of_ratios FROM util GROUP BY 1",
+    "corpus_q06_history_read_back": """WITH people AS (SELECT DISTINCT user_id AS client_id FROM events WHERE user_id % 3 = 0),
+  v AS (SELECT client_id, 1 AS version, client_id % 4 AS payer_id, 'enrollment' AS change_reason, DATE '2024-01-01' AS valid_from, DATE '2024-01-15' AS valid_to, FALSE AS is_current FROM people UNION ALL SELECT client_id, 2, (client_id + 1) % 4, 'payer_change', DATE '2024-01-16', DATE '9999-12-31', TRUE FROM people)
+  SELECT v.*, (SELECT COUNT(*) FROM events e WHERE e.user_id = v.client_id AND CAST(e.ts AS DATE) >= v.valid_from AND CAST(e.ts AS DATE) <= v.valid_to) AS sessions_in_version FROM v ORDER BY client_id, version LIMIT 30""",
+    "corpus_q07_expiring_unused": f"""WITH {UTIL}, today AS (SELECT MAX(CAST(ts AS DATE)) AS d FROM events)
+  SELECT auth_id, client_id, {SERVICE} AS service_code, 'Payer ' || CAST(client_id % 4 AS VARCHAR) AS payer_name, p_end AS expires_on, CAST(p_end - d AS INTEGER) AS days_to_expiry, ROUND(authorized * mpu / 60, 1) AS hours_authorized, ROUND(delivered * mpu / 60, 1) AS hours_delivered, ROUND((authorized - delivered) * mpu / 60, 1) AS hours_at_risk
+  FROM util, today WHERE d BETWEEN p_start AND p_end AND p_end - d <= 30 AND authorized > 0 AND authorized - delivered >= 0.25 * authorized ORDER BY 6, 9 DESC, 1 LIMIT 30""",
+    "corpus_q08_provider_rank": f"""WITH {RESOLVED}, n AS (SELECT provider_id, CASE WHEN provider_id % 2 = 0 THEN 'front' ELSE 'back' END AS discipline, COUNT(*) AS sessions, SUM(minutes) AS minutes FROM resolved WHERE status = 'completed' GROUP BY 1)
+  SELECT a.provider_id, CASE WHEN a.provider_id % 3 = 0 THEN 'lead' ELSE 'staff' END AS role, a.discipline, a.sessions, ROUND(a.minutes / 60, 1) AS hours, CAST(1 + COUNT(*) FILTER (WHERE b.sessions > a.sessions) AS INTEGER) AS rank_in_discipline, ROUND(100.0 * a.sessions / SUM(b.sessions), 2) AS pct_of_discipline
+  FROM n a JOIN n b ON a.discipline = b.discipline GROUP BY a.provider_id, a.discipline, a.sessions, a.minutes""",
+    "corpus_q09_where_and_having": """WITH c AS (SELECT user_id % 5 AS centre, COUNT(*) AS a, SUM(CASE WHEN event_id % 25 > 2 THEN 1 ELSE 0 END) AS c, SUM(CASE WHEN event_id % 25 = 0 THEN 1 ELSE 0 END) AS n FROM events GROUP BY 1)
+  SELECT 'Centre ' || CAST(centre AS VARCHAR) AS center_name, a AS all_sessions, CAST(c AS BIGINT) AS completed_sessions, CAST(n AS BIGINT) AS no_shows, ROUND(100.0 * n / a, 2) AS no_show_pct_all_rows, ROUND(100.0 * n / NULLIF(c, 0), 2) AS no_show_pct_completed_only FROM c WHERE a > 100""",
+    "corpus_q10_newest_runs": """SELECT strftime(CAST(ts AS DATE), 'run-%Y%m%d') AS run_id, CAST(ts AS DATE) + 1 AS finished_at, MAX(event_id) % 3 <> 0 AS published, CASE WHEN MAX(event_id) % 3 = 0 THEN 'uom_resolution_coverage' END AS blocking, COUNT(*) AS rows FROM events GROUP BY CAST(ts AS DATE) ORDER BY CAST(ts AS DATE) DESC LIMIT 10""",
+}
+
+
+for _name in corpus.QUERIES:
     QUERIES[_name] = lambda spark, sf_dir, n=_name: corpus.run(spark, sf_dir, n)
-    ORACLES[_name] = _oracle(_sql)
+    ORACLES[_name] = CORPUS_ORACLES[_name]
+
+from unitflow import queries_more as _more  # noqa: E402, F401  registers its queries here
