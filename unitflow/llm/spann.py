@@ -2,11 +2,14 @@
 
 Inner products become distances: each vector gets one more component, sqrt(M^2 - |x|^2) with M the largest norm (0 for a
 query), so that the nearest vector is the one with the largest inner product. Centroids come from a hierarchical clustering
-of a bounded sample (``fit_rows``): clusters above the leaf size are split again, which keeps lists balanced. Every vector
-is put into the list of its nearest centroid and, near a boundary, into further ones whose distance is within CLOSURE times
-the nearest. A query searches the centroids by a best-first walk on their neighbour graph and probes the lists whose distance
-is within a ratio of the nearest, and the next nearest until they hold more than k different rows. The ratio is calibrated: the one that reaches ``target`` of the true neighbours of some
-sample rows within the sample. Neighbours in all rows are nearer than those in a sample, so the recall is no lower there.
+of a sample: clusters above the leaf size are split again, which keeps lists balanced. There are rows / LIST_ROWS lists, or
+ROOTS * sqrt(rows) where that is less (from a million rows on), so that centroids and rows of a list grow alike: at a thousand million
+rows 126 thousand centroids (some 65 MB at 64 dimensions) and lists of some 8000 rows; work grows as rows^1.5. The sample has
+``fit_rows`` rows, and from four million rows on SAMPLE_A_LIST for each list. Every vector is put into the list of its nearest
+centroid and, near a boundary, into further ones whose distance is within CLOSURE times the nearest. A query searches the centroids
+by a best-first walk on their neighbour graph and probes the lists whose distance is within a ratio of the nearest, and the next
+nearest until they hold more than k different rows. The ratio is calibrated: the one that reaches ``target`` of the true neighbours
+of some sample rows within the sample. Neighbours in all rows are nearer than those in a sample, so the recall is no lower there.
 
 Neighbouring lists make up shards of SHARD_ROWS vectors; a list that is larger is dealt over several shards by a hash. A query
 goes to the shards that hold lists it probes, once each, and leaves each with k rows. Queries of a shard are dealt into
@@ -26,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import hash_sample, quoted, written
+from .common import frugal, hash_sample, quoted, small_batches, written
 
-FIT_ROWS, MAX_LISTS, LIST_ROWS, SHARD_ROWS, QUERY_ROWS = 16_384, 4096, 256, 8192, 4096
+FIT_ROWS, SAMPLE_A_LIST, LIST_ROWS, ROOTS, SHARD_ROWS, QUERY_ROWS = 16_384, 2, 256, 4, 8192, 4096
 COPIES, CLOSURE, TARGET, TRIALS, DEGREE, BEAM = 3, 1.02, 0.97, 256, 24, 64
 
 
@@ -62,8 +65,12 @@ def centres_of(x: np.ndarray, leaf: int, rng: np.random.Generator) -> np.ndarray
     return np.array(out)
 
 
+def lists_for(rows: int) -> int:
+    return max(1, math.ceil(min(rows / LIST_ROWS, ROOTS * math.sqrt(rows))))
+
+
 class Index:
-    """Centroids and their neighbour graph; MAX_LISTS centroids at most."""
+    """Centroids and their neighbour graph; twice lists_for(rows) centroids at most, as clusters are split unevenly."""
 
     def __init__(self, sample: np.ndarray, rows: int, seed: int = 11):
         self.m = float(np.sqrt((sample**2).sum(1).max())) if len(sample) else 0.0
@@ -72,15 +79,19 @@ class Index:
 
     def fit(self, norm: float, k: int = 20, target: float = TARGET) -> Index:
         self.m = norm
-        lists = min(MAX_LISTS, max(1, -(-self.rows // LIST_ROWS)))
+        lists = lists_for(self.rows)
         x = self.lifted(self.sample)
-        self.c = centres_of(x, max(1, len(x) // lists), np.random.default_rng(self.seed))[:MAX_LISTS]
+        self.c = centres_of(x, max(1, len(x) // lists), np.random.default_rng(self.seed))[: 2 * lists]
         self.ratio = self.calibrated(self.sample, k, target)
         self.sample = None
-        d = self.distances(self.c)
-        np.fill_diagonal(d, np.inf)
         k = min(DEGREE, len(self.c) - 1)
-        near = np.argsort(d, axis=1, kind="stable")[:, :k]
+        near = np.zeros((len(self.c), k), np.int64)
+        step = self.block()
+        for at in range(0, len(self.c), step) if k else ():
+            d = self.distances(self.c[at : at + step])
+            d[np.arange(len(d)), np.arange(at, at + len(d))] = np.inf
+            own = np.argpartition(d, k - 1, axis=1)[:, :k]
+            near[at : at + step] = np.take_along_axis(own, np.argsort(np.take_along_axis(d, own, 1), axis=1, kind="stable"), 1)
         links = [set(r) for r in near.tolist()]
         for i, own in enumerate(near.tolist()):
             for j in own[: k // 2]:
@@ -95,8 +106,16 @@ class Index:
     def distances(self, x: np.ndarray) -> np.ndarray:
         return np.maximum((x**2).sum(1)[:, None] + (self.c**2).sum(1) - 2 * x @ self.c.T, 0.0)
 
+    def block(self) -> int:
+        """Rows whose distances to all centroids are made at once: 16 MB."""
+        return max(1, 2_000_000 // max(1, len(self.c)))
+
     def lists(self, x: np.ndarray) -> list[list[int]]:
         """The lists of each vector."""
+        step = self.block()
+        return [own for at in range(0, len(x), step) for own in self.near(x[at : at + step])]
+
+    def near(self, x: np.ndarray) -> list[list[int]]:
         d = np.sqrt(self.distances(self.lifted(x)))
         k = min(COPIES, d.shape[1])
         near = np.argpartition(d, k - 1, axis=1)[:, :k]
@@ -161,9 +180,8 @@ def listed(index):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(index.value.lists(matrix(part.column(1))), pa.list_(pa.int32()))], ["vec_id", "e", "lists"])
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(index.value.lists(matrix(batch.column(1))), pa.list_(pa.int32()))], ["vec_id", "e", "lists"])
 
     return run
 
@@ -273,21 +291,22 @@ def nearest(df: DataFrame, k: int = 20, vec_id: str = "vec_id", embedding: str =
     ids (rows of one id) is compared with all rows. An empty table gives none.
     """
     spark = df.sparkSession
+    small_batches(spark)
     own = usable(df, vec_id, embedding)
     sizes = own.groupBy(F.size("e").alias("n")).agg(F.count(F.lit(1)).alias("rows"), F.max(F.aggregate("e", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).orderBy(F.col("rows").desc(), "n").first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if sizes is None:
         return empty
     own = own.where(F.size("e") == sizes.n)
-    sample = hash_sample(own, "vec_id", fit_rows, sizes.rows).select("e").toArrow()
+    sample = hash_sample(own, "vec_id", max(fit_rows, SAMPLE_A_LIST * lists_for(sizes.rows)), sizes.rows).select("e").toArrow()
     index = spark.sparkContext.broadcast(Index(matrix(sample["e"]), sizes.rows).fit(math.sqrt(sizes.m), k, target))
     is_query = F.pmod("vec_id", F.lit(every)) == 0
-    rows = written(own.mapInArrow(listed(index), "vec_id long, e array<double>, lists array<int>").select("vec_id", "e", F.explode("lists").alias("list")))
-    counts = rows.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()  # MAX_LISTS at most
+    rows = written(own.mapInArrow(frugal(listed(index)), "vec_id long, e array<double>, lists array<int>").select("vec_id", "e", F.explode("lists").alias("list")))
+    counts = rows.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()  # one row a list
     held = {r.list: r.n for r in counts}
     place = sharded(held)
     shards = spark.sparkContext.broadcast(place)
-    queries = written(own.where(is_query).mapInArrow(probing(index, shards, spark.sparkContext.broadcast(held), COPIES * (k + 1)), "shard int, vec_id long, e array<double>, lists array<int>"))
+    queries = written(own.where(is_query).mapInArrow(frugal(probing(index, shards, spark.sparkContext.broadcast(held), COPIES * (k + 1))), "shard int, vec_id long, e array<double>, lists array<int>"))
 
     where = F.broadcast(spark.createDataFrame([(j, a, n) for j, (a, n) in place.items()], "list int, first int, shards int"))
     spread = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
