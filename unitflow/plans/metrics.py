@@ -65,10 +65,16 @@ def sql_values(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
     return spark.sql(" UNION ALL ".join(parts))
 
 
-def parity(spark: SparkSession, frames: dict[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
-    """metric, sql_value, frame_value, agrees."""
-    a, b = sql_values(spark, frames).withColumnRenamed("value", "sql_value"), frame_values(frames).withColumnRenamed("value", "frame_value")
-    return a.join(b, "metric").withColumn("agrees", F.coalesce(F.abs(F.col("sql_value") - F.col("frame_value")) <= tolerance, F.col("sql_value").isNull() & F.col("frame_value").isNull()))
+def parity(frames: dict[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
+    """metric, sql_value, frame_value, agrees: both forms of every metric in one aggregate over each grain's table."""
+    out = None
+    for grain in dict.fromkeys(m.grain for m in METRICS):
+        own = [m for m in METRICS if m.grain == grain]
+        one = frames[grain].agg(*[F.struct(F.lit(m.key).alias("metric"), F.expr(m.sql).cast("double").alias("sql_value"), m.column().cast("double").alias("frame_value")).alias(m.key) for m in own])
+        rows = one.select(F.explode(F.array(*[F.col(m.key) for m in own])).alias("x")).select("x.*")
+        out = rows if out is None else out.unionByName(rows)
+    agrees = F.coalesce(F.abs(F.col("sql_value") - F.col("frame_value")) <= tolerance, F.col("sql_value").isNull() & F.col("frame_value").isNull())
+    return out.withColumn("agrees", agrees)
 
 
 def catalogue_markdown() -> str:

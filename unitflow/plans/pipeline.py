@@ -21,7 +21,7 @@ from unitflow.plans import metrics, publish
 from unitflow.plans.files import Files
 from unitflow.plans.orchestration import OK, Orchestrator, RunResult, Task
 from unitflow.plans.store import Store
-from unitflow.sources import generate, lake
+from unitflow.sources import adaptors, generate, lake
 
 #: Keys of the published tables, checked on load.
 TABLE_KEYS = {"dim_client": ["client_key"], "dim_service": ["service_key"], "dim_provider": ["provider_key"], "dim_center": ["center_key"], "dim_payer": ["payer_key"], "dim_date": ["date_key"], "fact_session": ["session_id"], "fact_authorization": ["auth_id"], "utilization": ["auth_id"]}
@@ -35,7 +35,7 @@ FACT_KEYS = ["date_key", "client_key", "provider_key", "center_key"]
 
 def conformed(frames: dict[str, DataFrame], spark: SparkSession) -> dict[str, DataFrame]:
     """The star from the raw frames."""
-    catalogue = spark.createDataFrame(generate.SERVICES, "service_code string, service_name string, discipline string, minutes_per_unit int")
+    catalogue = adaptors.literal_rows(spark, list(generate.SERVICES), "service_code string, service_name string, discipline string, minutes_per_unit int")
     services = conform.with_unknown(conform.surrogate_keys(catalogue, ["service_code"], "service_key"), "service_key", {"service_code": "UNKNOWN", "service_name": "Unmapped", "discipline": "UNKNOWN", "minutes_per_unit": 0})
     raw, given = frames["ehr_sessions.csv"], frames["payer_authorizations.csv"]
     kept, dropped = conform.keep_first(raw, SESSION_KEY, ["session_id"])
@@ -171,7 +171,7 @@ def build(spark: SparkSession, root: str | Path, ingest_date: str, acknowledgeme
         return {"diff": found}
 
     def parity(c):
-        rows = metrics.parity(spark, {"sessions": c["star"]["resolved"], "utilization": c["utilization"]}).where("NOT agrees").collect()
+        rows = metrics.parity({"sessions": c["star"]["resolved"], "utilization": c["utilization"]}).where("NOT agrees").collect()
         if rows:
             raise RuntimeError(f"two forms of a metric disagree: {[r.metric for r in rows]}")
         return {}

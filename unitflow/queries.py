@@ -325,7 +325,7 @@ METRIC_SQL = {
 
 @query(f"WITH {UTIL} " + " UNION ALL ".join(f"SELECT '{k}' AS metric, ROUND(CAST(({q}) AS DOUBLE), 6) AS value, TRUE AS agrees" for k, q in METRIC_SQL.items()))
 def metric_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = metrics.parity(spark, {"sessions": resolved(spark, sf_dir), "utilization": util(spark, sf_dir)})
+    p = metrics.parity({"sessions": resolved(spark, sf_dir), "utilization": util(spark, sf_dir)})
     return p.select("metric", r("frame_value", 6).alias("value"), "agrees")
 
 

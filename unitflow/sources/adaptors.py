@@ -14,9 +14,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows as literals: the planner knows their size, unlike that of rows sent from Python, and so can broadcast them."""
+    names = [c.split() for c in schema.split(", ")]
+    made = [F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(r, names, strict=True)]) for r in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*made)))
+
+
 def catalogue(spark: SparkSession, without: tuple[str, ...] = ()) -> DataFrame:
     rows = [r for r in CATALOGUE if r[0] not in without]
-    return spark.createDataFrame(rows, "service_code string, service_name string, discipline string, minutes_per_unit int")
+    return literal_rows(spark, rows, "service_code string, service_name string, discipline string, minutes_per_unit int")
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
