@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, hash_sample, map_text, written
+from .common import forget, frugal, hash_sample, map_text, written
 from .components import components
 
 WORDS, DISTANCE, BUCKET_ROWS, SAMPLE_ROWS, SEED = 3, 3, 512, 20_000, 42
@@ -217,10 +217,10 @@ def link_forest(nodes: DataFrame, distance: int = DISTANCE, bucket_rows: int = B
     while masks:
         table = F.array(*[F.lit(signed(m)) for m in masks])
         probed = rows.select("f", F.explode(table).alias("mask")) if out is None else rows
-        probed = probed.select("mask", F.col("f").bitwiseAND(F.col("mask")).alias("v"), "f")
+        probed = written(probed.select("mask", F.col("f").bitwiseAND(F.col("mask")).alias("v"), "f"))  # read for sizes, small and large buckets
         sizes = written(probed.groupBy("mask", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
         cold = probed.join(sizes.where(F.col("n") <= bucket_rows).select("mask", "v"), ["mask", "v"])
-        made = written(cold.repartition("mask", "v").sortWithinPartitions("mask", "v", "f").mapInArrow(verify(distance), "a long, b long"))
+        made = written(cold.repartition("mask", "v").sortWithinPartitions("mask", "v", "f").mapInArrow(frugal(verify(distance)), "a long, b long"))
         out = made if out is None else out.unionByName(made)
         hot = [r[0] % (1 << 64) for r in sizes.where(F.col("n") > bucket_rows).select("mask").distinct().collect()]
         if hot:  # as many masks as parts and levels give at most
@@ -229,6 +229,7 @@ def link_forest(nodes: DataFrame, distance: int = DISTANCE, bucket_rows: int = B
             rows = written(again.select("f", F.explode("finer").alias("mask")).distinct())
         masks = hot
         forget(sizes)
+        forget(probed)
     return out if out is not None else spark.createDataFrame([], "a long, b long")
 
 
@@ -241,8 +242,11 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     """
     own = written(fingerprints(df, doc_id, text, words))
     nodes = written(own.groupBy("f").agg(F.min("doc_id").alias("least")))
-    found = components(link_forest(nodes.select("f"), distance))
+    links = link_forest(nodes.select("f"), distance)
+    found = components(links)
     roots = written(nodes.join(found, nodes.f == found.node, "left").select("f", F.coalesce("root", "f").alias("root"), "least"))
     least = written(roots.groupBy("root").agg(F.min("least").alias("component_id")))
     to = written(roots.join(least, "root").select("f", "component_id"))
+    for x in (nodes, links, found, roots, least):
+        forget(x)
     return own.join(to, "f").select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
