@@ -18,7 +18,6 @@ blocks by a hash. Scores are inner products in double precision of the original
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 
@@ -32,7 +31,7 @@ from pyspark.sql import Window
 from .common import frugal, hash_sample, quoted, small_batches, written
 
 FIT_ROWS, SAMPLE_A_LIST, LIST_ROWS, ROOTS, SHARD_ROWS, QUERY_ROWS = 16_384, 2, 256, 4, 8192, 4096
-COPIES, CLOSURE, TARGET, TRIALS, DEGREE, BEAM = 3, 1.02, 0.97, 256, 24, 64
+COPIES, CLOSURE, TARGET, TRIALS, DEGREE, BEAM, STEP = 3, 1.02, 0.97, 256, 24, 64, 32
 
 
 def usable(df: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -140,25 +139,23 @@ class Index:
         """The lists to probe for a query: best-first walk, pruning by the distance ratio, then the next nearest up to ``floor`` rows."""
         lifted, ratio = np.append(q, 0.0), self.ratio
         dist = lambda nodes: np.sqrt(((self.c[nodes] - lifted) ** 2).sum(1))
-        first = float(dist([self.start])[0])
-        seen, open_, done = {self.start}, [(first, self.start)], [(-first, self.start)]
-        while open_:
-            d, node = heapq.heappop(open_)
-            best = -max(done)[0]
-            if len(done) >= BEAM and d > max(-done[0][0], best * ratio):
+        far = np.full(len(self.c), np.inf)  # distances of the nodes that were met
+        opened = np.zeros(len(self.c), bool)
+        met = np.array([self.start])
+        far[met] = dist(met)
+        while True:
+            own = far[met]
+            bound = max(own.min() * ratio, np.partition(own, BEAM - 1)[BEAM - 1] if len(met) > BEAM else np.inf)
+            near = met[(own <= bound) & ~opened[met]]
+            if not len(near):
                 break
-            new = [j for j in self.links[node].tolist() if j not in seen]
-            if not new:
-                continue
-            seen.update(new)
-            for e, j in zip(dist(new).tolist(), new, strict=True):
-                if len(done) < BEAM or e < max(-done[0][0], best * ratio):
-                    heapq.heappush(open_, (e, j))
-                    heapq.heappush(done, (-e, j))
-                    if len(done) > BEAM and -done[0][0] > best * ratio:
-                        heapq.heappop(done)
-        least = -max(done)[0]
-        out = {j for d, j in done if -d <= least * ratio}
+            near = near[np.argsort(far[near], kind="stable")[:STEP]]  # the nearest few at once
+            opened[near] = True
+            new = np.unique(np.concatenate([self.links[j] for j in near.tolist()]))
+            new = new[np.isinf(far[new])]
+            far[new] = dist(new)
+            met = np.concatenate([met, new])
+        out = set(met[own <= own.min() * ratio].tolist())
         rows = sum(sizes.get(j, 0) for j in out) if sizes is not None else floor
         if rows < floor:
             for j in np.argsort(dist(np.arange(len(self.c))), kind="stable").tolist():
