@@ -107,7 +107,7 @@ def test_landing_and_declared_schemas(spark, tmp_path):
         lake.source_of("odd.csv")
 
 
-def test_pages_retries_and_completeness(spark):
+def test_pages_retries_and_completeness(spark, tmp_path):
     rows = [{"auth_id": f"A{i}", "units": float(i)} for i in range(250)]
     waits = []
     got = api.fetch_all(api.fake_api(rows, 100, {2: api.APIError(429, retry_after=3.0), 4: api.APIError(503)}), sleep=waits.append)
@@ -120,6 +120,9 @@ def test_pages_retries_and_completeness(spark):
         api.fetch_all(lambda c: api.Page([{}], "same", None), sleep=waits.append)
     with pytest.raises(api.IncompleteError):
         api.fetch_all(lambda c: api.Page([{}], None, 5), sleep=waits.append)
+    path = tmp_path / "a.csv"
+    path.write_text("auth_id,units\nA1,2\nA2,\n")
+    assert api.fetch_all(api.csv_api(str(path), 1), sleep=waits.append).rows == [{"auth_id": "A1", "units": "2"}, {"auth_id": "A2", "units": None}]
     api.register(spark, "payer_api", "auth_id string, units double", api.fake_api(rows))
     assert spark.read.format("payer_api").load().agg(F.sum("units")).first()[0] == sum(range(250))
 

@@ -1,6 +1,7 @@
 """The whole run over generated extracts: the gate, the pointer, reruns and what is published."""
 
 import json
+import re
 
 import pytest
 
@@ -40,8 +41,8 @@ def test_a_rerun_changes_nothing(spark, runs):
 def test_what_is_published_has_no_raw_identifier(runs):
     root, _ = runs
     text = "".join(p.read_text() for p in (root / "exports").rglob("*") if p.is_file() and p.suffix in (".csv", ".json", ".md"))
-    assert "CLI-00" not in text
-    assert "AUTH-0" not in text
+    # by shape: a pseudonym may begin with zeros by chance
+    assert not re.search(r"\b(CLI-\d{4,6}|AUTH-\d{5,7}|PRV-\d{3,5}|SES-\d{6,8})\b", text)
     assert json.loads((root / "exports" / "payload.json").read_text())["headline"]["open_auths"] > 0
     assert len(json.loads((root / "exports" / "relationships.json").read_text())) == 10
     assert {p.name for p in (root / "exports").iterdir() if p.is_dir()} == set(pipeline.TABLE_KEYS)

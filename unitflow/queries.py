@@ -347,7 +347,8 @@ def pseudonymise_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.table(spark, sf_dir, "customer").select("c_custkey", pseudonym(F.col("c_custkey"), KEY, "CLI").alias("pseudonym"))
 
 
-SCANNED = {"ssn": r"\b\d{3}-\d{2}-\d{4}\b", "email": r"\b[\w.+-]+@[\w-]+\.[\w.]{2,}\b", "date_of_birth": r"\b(?:0?[1-9]|1[0-2])[/-](?:0?[1-9]|[12]\d|3[01])[/-](?:19|20)\d{2}\b", "us_zip_plus4": r"\b\d{5}-\d{4}\b"}
+#: The patterns without look-around, which the oracle's engine lacks.
+SCANNED = {"ssn": r"\b\d{3}-\d{2}-\d{4}\b", "email": r"\b[\w.+-]+@[\w-]+\.[\w.]{2,}\b", "date_of_birth": r"\b(?:0?[1-9]|1[0-2])[/-](?:0?[1-9]|[12]\d|3[01])[/-](?:19|20)\d{2}\b", "us_zip_plus4": r"\b\d{5}-\d{4}\b", "mrn_like": r"(?i)\b(?:MRN|MR#|MEDREC|MEDICAL\s+RECORD)(?:\s*(?:ID|NO|NUM|NUMBER|#))?[ .:#-]*\w{4,}\b"}
 
 
 @query(" UNION ALL ".join(f"SELECT 'text' AS \"column\", '{n}' AS pattern, COUNT(*) AS matches FROM documents WHERE regexp_matches(text, '{p}') HAVING COUNT(*) > 0" for n, p in SCANNED.items()))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -109,3 +110,9 @@ def fake_api(rows: list[dict], size: int = 100, fail: dict[int, APIError] | None
         return Page(rows[at:nxt], str(nxt) if nxt < len(rows) else None, len(rows))
 
     return fetch
+
+
+def csv_api(path: str, size: int = 200, fail: dict[int, APIError] | None = None) -> Callable[[str | None], Page]:
+    """A test server over the rows of one CSV file with a header; values are text, empty fields None."""
+    with open(path, newline="", encoding="utf-8") as f:
+        return fake_api([{k: v or None for k, v in r.items()} for r in csv.DictReader(f)], size, fail)
