@@ -88,6 +88,7 @@ def map_text(df: DataFrame, keep: list[str], text: str, fn: Callable[[pa.RecordB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = start() if start else None
+        release()  # what loading has left
         for whole in batches:
             for part in slices(whole, len(names)):
                 texts = part.column(len(names)).to_pylist()
