@@ -23,7 +23,7 @@ from .common import map_text
 from .token_count import byte_alphabet, encoder
 
 #: Chunks have 2**CHUNK_BITS bytes on average. Longer words and chunks are not kept, and a cache that holds so many bytes begins anew.
-CHUNK_BITS, LONGEST_CHUNK, LONGEST_WORD, CHUNK_BYTES, WORD_BYTES = 9, 8192, 64, 8_000_000, 30_000_000
+CHUNK_BITS, LONGEST_CHUNK, LONGEST_WORD, CHUNK_BYTES, WORD_BYTES = 9, 8192, 64, 8_000_000, 20_000_000
 #: About what an entry takes besides its bytes.
 ENTRY_BYTES = 300
 #: The normaliser and pre-tokeniser that the rules here hold for.

@@ -17,7 +17,7 @@ SLICE_ROWS, SLICE_BYTES = 1024, 2_000_000
 
 
 #: Bytes of batches after which a worker gives memory back.
-RELEASE_BYTES = 8_000_000
+RELEASE_BYTES = 4_000_000
 #: Rows of a batch between the JVM and a Python worker; the default would hold ten times as much text in both.
 BATCH_ROWS = 1000
 
