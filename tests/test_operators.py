@@ -85,6 +85,16 @@ def test_roll_up_is_additive(spark, units):
     assert sum(parts) == whole
 
 
+@pytest.mark.parametrize(("units", "want"), [
+    ((0.1, 0.2), 0.3), ((0.43, 0.93, 2.06, 3.58), 7.0), ((0.1,) * 10, 1.0), ((1 / 45,) * 9, 0.2), ((-0.1, 0.3, -0.2), 0.0),
+    ((0.0,), 0.0), ((1e-7, 2e-7), 3e-7), ((1e300, 1.0), 1e300), ((float("inf"), 1.0), float("inf")), ((123456789.12, 0.01), 123456789.13), ((1e15, 0.5), 1e15 + 0.5), ((2.0**53 - 2, 1.0), 2.0**53 - 1),
+])
+def test_roll_up_sums_what_the_units_sum_to(spark, units, want):
+    for order in (units, units[::-1]):
+        a, s = auths_and_sessions(spark, order)
+        assert analytics.roll_up(a, s).first().units_delivered == want
+
+
 def test_overlaps_see_past_the_last_row(spark):
     p = spark.createDataFrame([(1, "a", 1, 100), (2, "a", 5, 6), (3, "a", 50, 60), (4, "b", 1, 2), (5, "b", 3, 4)], "id int, k string, s int, e int")
     assert sorted(r.id for r in analytics.overlaps(p, ["k"], "s", "e", "id").collect()) == [2, 3]

@@ -26,6 +26,23 @@ def ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
+def addends(c: Column) -> tuple[Column, Column]:
+    """(exact, rest): a double as a decimal of 18 places, whose sums no order changes, or as it is where such a decimal cannot hold 15 digits of it."""
+    exact = F.when(F.abs(c) >= 1e-3, c.try_cast("decimal(28,18)"))
+    return exact, F.when(exact.isNull(), c)
+
+
+def total(exact: Column, rest: Column) -> Column:
+    """The sums of addends() as one double; nothing summed is 0.
+
+    Sums of doubles differ in their last digits with the order of the rows, enough to cross a threshold that the true sum meets. Of
+    the exact sum, what the addends were rounded by before (of one sign: 4e-16 of it at most) is left: a number of 15 digits so near is taken.
+    """
+    t = F.coalesce(exact.cast("double"), F.lit(0.0)) + F.coalesce(rest, F.lit(0.0))
+    near = F.format_string("%.14e", t).cast("double")
+    return F.when((F.abs(t) < 1e15) & (F.abs(t - near) <= F.abs(t) * 4e-16), near).otherwise(t)
+
+
 def at_least(c: Column, low: float) -> Column:
     """Null stays null (greatest() alone would skip it)."""
     return F.when(c.isNotNull(), F.greatest(c, F.lit(low)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from unitflow.functions.exprs import at_least, clipped, ratio, year_month
+from unitflow.functions.exprs import addends, at_least, clipped, ratio, total, year_month
 
 FLOOR, CEILING, EXPIRY_DAYS, UNUSED_SHARE = 0.90, 1.00, 30, 0.25
 
@@ -19,14 +19,18 @@ def roll_up(auths: DataFrame, sessions: DataFrame, keys: tuple[str, ...] = ("cli
     its period, both ends in it.
 
     Sessions are summed by keys and day first, so the join sees a day at most once a key; the range is a residual of the
-    equi-join. Authorisations without sessions stay, with zeros.
+    equi-join. Authorisations without sessions stay, with zeros. Units and minutes are summed as decimals, so neither the days nor
+    the order of the rows shows in the result.
     """
-    days = eligible(sessions).groupBy(*keys, "service_date").agg(F.sum("units").alias("_u"), F.sum("minutes").alias("_m"), F.countDistinct("session_id").alias("_n"))
+    (u, u_rest), (m, m_rest) = addends(F.col("units")), addends(F.col("minutes"))
+    days = eligible(sessions).groupBy(*keys, "service_date").agg(
+        F.sum(u).alias("_u"), F.sum(u_rest).alias("_ur"), F.sum(m).alias("_m"), F.sum(m_rest).alias("_mr"), F.countDistinct("session_id").alias("_n"),
+    )
     a, d = auths.alias("a"), days.alias("d")
     on = F.col("d.service_date").between(F.col("a.period_start"), F.col("a.period_end"))
     for k in keys:
         on = on & (F.col(f"a.{k}") == F.col(f"d.{k}"))
-    sums = a.join(d, on).groupBy("a.auth_id").agg(F.sum("_u").alias("units_delivered"), F.sum("_m").alias("minutes_delivered"), F.sum("_n").alias("sessions"))
+    sums = a.join(d, on).groupBy("a.auth_id").agg(total(F.sum("_u"), F.sum("_ur")).alias("units_delivered"), total(F.sum("_m"), F.sum("_mr")).alias("minutes_delivered"), F.sum("_n").alias("sessions"))
     zero = {"units_delivered": 0.0, "minutes_delivered": 0.0, "sessions": 0}
     return auths.join(sums, "auth_id", "left").withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in zero.items()})
 

@@ -28,9 +28,10 @@ def resolve_units(rows: DataFrame, catalogue: DataFrame, code: str = "service_co
         .when(~unit.isin("minutes", "units"), "unrecognised_uom")
     )
     minutes = F.when(unit == "minutes", amount).when(unit == "units", amount * F.col("_mpu"))
+    units = F.when(unit == "minutes", amount / F.col("_mpu")).when(unit == "units", amount)  # units by way of minutes would not all come back as they were
     out = j.withColumn("unresolved_reason", reason).withColumn("uom_resolved", F.col("unresolved_reason").isNull())
     out = out.withColumn("minutes", F.when(F.col("uom_resolved"), minutes).otherwise(0.0))
-    return out.withColumn("units", F.when(F.col("uom_resolved"), F.col("minutes") / F.col("_mpu")).otherwise(0.0)).drop("_code", "_mpu")
+    return out.withColumn("units", F.when(F.col("uom_resolved"), units).otherwise(0.0)).drop("_code", "_mpu")
 
 
 def resolve_units_naive(rows: DataFrame, catalogue: DataFrame, code: str = "service_code", value: str = "duration_value", uom: str = "duration_uom", default: float = 15.0) -> DataFrame:
